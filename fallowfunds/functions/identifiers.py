@@ -12,6 +12,9 @@ from fallowfunds.functions.parsing import normalize_digits
 # Published mod-11 weights, right to left over the number without its check digit.
 CHECK_DIGIT_WEIGHTS = (3, 7, 13, 17, 19, 23, 29, 37, 41, 43, 47, 53, 59, 67, 71)
 
+# The digit for each remainder 0..10 (0 and 1 stand, others are taken from 11).
+DIGIT_OF_REMAINDER = "01987654321"
+
 # Shared by every table that carries these keys.
 ID_LENGTH = 16
 NO_ACCOUNT = "no_court_account"
@@ -28,35 +31,34 @@ def normalize_id(text: Column) -> Column:
     return normalize_digits(text)
 
 
-def _weighted_check(number: Column, positions: int, skip: int = 0) -> Column:
-    """Mod-11 check digit of a long, its digits taken by division (no text, no arrays).
+def numeric_check_digit(number: Column, positions: int, skip: int = 0) -> Column:
+    """Mod-11 check digit, as text, of a long with at most ``positions`` digits.
 
-    ``skip`` leaves out that many digits at the right.
+    ``skip`` leaves out that many digits at the right. Digits are taken by division and the
+    remainder is looked up once, which keeps the generated code small enough to be compiled.
     """
 
     def digit(i: int) -> Column:
-        return F.call_function("div", number, F.lit(10 ** (i + skip)).cast("bigint")) % 10
+        power = 10 ** (i + skip)
+        shifted = number if power == 1 else F.call_function("div", number, F.lit(power))
+        return shifted % 10
 
     total = reduce(
         lambda a, b: a + b, (digit(i) * CHECK_DIGIT_WEIGHTS[i] for i in range(positions))
     )
-    remainder = total % 11
-    return F.when(remainder < 2, remainder).otherwise(11 - remainder)
+    return F.substring(F.lit(DIGIT_OF_REMAINDER), (total % 11 + 1).cast("int"), F.lit(1))
 
 
 def check_digit(base: Column) -> Column:
     """Check digit, as text, of a number that does not carry one yet."""
     positions = len(CHECK_DIGIT_WEIGHTS)
-    number = F.right(base, F.lit(positions)).try_cast("bigint")
-    return _weighted_check(number, positions).cast("string")
+    return numeric_check_digit(F.right(base, F.lit(positions)).try_cast("bigint"), positions)
 
 
 def canonical_document_number(number: Column) -> Column:
     """Drop the last digit of a 9 or 10 digit number when it is the check digit of the rest."""
-    as_long = number.try_cast("bigint")
-    carries_check = F.length(number).isin(9, 10) & (
-        _weighted_check(as_long, 9, skip=1) == as_long % 10
-    )
+    expected = numeric_check_digit(number.try_cast("bigint"), 9, skip=1)
+    carries_check = F.length(number).isin(9, 10) & (expected == F.right(number, F.lit(1)))
     return F.when(carries_check, F.left(number, F.length(number) - 1)).otherwise(number)
 
 

@@ -142,37 +142,31 @@ def normalize_digits(text: Column) -> Column:
     return F.nullif(F.regexp_replace(text, "[^0-9]", ""), F.lit(""))
 
 
-def _integral_text(text: Column) -> Column:
-    """Integer digits of a decimal text, the fraction cut; exponents are expanded."""
-    exact = text.try_cast("decimal(38,10)")
-    large = text.try_cast("decimal(38,0)")
-    whole = F.when(exact < 0, F.ceil(exact)).otherwise(F.floor(exact))
-    return F.coalesce(whole.cast("decimal(38,0)"), large).cast("string")
-
-
-def id_from_cell(kind: Column, text: Column) -> Column:
-    """Digits of an id cell; a number is cut to an integer first."""
-    return (
-        F.when(kind == NUMBER, normalize_digits(_integral_text(text)))
-        .when(kind == BOOL, F.lit(None).cast("string"))
-        .otherwise(normalize_digits(text))
+def number_text(text: Column) -> Column:
+    """A number cell's text as kept: no exponent, and no ``.0`` on an integral value."""
+    expanded = F.coalesce(
+        F.regexp_replace(text.try_cast("decimal(38,10)").cast("string"), r"\.?0+$", ""),
+        text.try_cast("decimal(38,0)").cast("string"),
+        text,
+    )
+    return F.when(F.contains(F.upper(text), F.lit("E")), expanded).otherwise(
+        F.regexp_replace(text, r"\.0+$", "")
     )
 
 
 def stringify_cell(kind: Column, text: Column) -> Column:
-    """Text of a cell as kept in the ``_raw`` and pass-through columns.
+    """Text of a cell as kept in the ``_raw`` and pass-through columns."""
+    return F.when(kind == NUMBER, number_text(text)).otherwise(text)
 
-    An integral number loses its ``.0`` and its exponent; any other cell keeps its text.
-    """
-    exact = text.try_cast("decimal(38,10)")
-    integral = F.when(exact.isNotNull(), exact == F.floor(exact)).otherwise(
-        text.try_cast("decimal(38,0)").isNotNull()
+
+def id_from_cell(kind: Column, text: Column) -> Column:
+    """Digits of an id cell; a number is cut to an integer first. Takes the stringified cell."""
+    readable = (
+        F.when(kind == NUMBER, F.substring_index(text, ".", 1))
+        .when(kind == BOOL, F.lit(None).cast("string"))
+        .otherwise(text)
     )
-    plain = F.when(
-        F.contains(F.upper(text), F.lit("E")), F.rtrim(exact.cast("string"), F.lit("0"))
-    ).otherwise(text)
-    number = F.when(integral, _integral_text(text)).otherwise(F.coalesce(plain, text))
-    return F.when(kind == NUMBER, number).otherwise(text)
+    return normalize_digits(readable)
 
 
 def python_repr(text: Column) -> Column:

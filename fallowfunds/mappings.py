@@ -6,13 +6,9 @@ DataFrame of the same shape to the operators to use another one.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-MAPPING_SCHEMA = (
-    "period string, sheet string, skip_reason string, "
-    "column_map array<struct<source:string,field:string>>"
-)
-
 # Source column names exactly as published, trailing blanks included. A layout
 # used by several publications is written once.
 
@@ -217,7 +213,19 @@ PINNED = (
 
 def pinned_mapping(spark: SparkSession) -> DataFrame:
     """The reference table as a DataFrame of 19 rows."""
-    rows = [
-        (period, sheet, reason, list(layout.items())) for period, sheet, layout, reason in PINNED
-    ]
-    return spark.createDataFrame(rows, MAPPING_SCHEMA)
+    table = pa.table(
+        {
+            "period": [period for period, _, _, _ in PINNED],
+            "sheet": [sheet for _, sheet, _, _ in PINNED],
+            "skip_reason": pa.array([reason for _, _, _, reason in PINNED], pa.string()),
+            "column_map": pa.array(
+                [
+                    [{"source": source, "field": field} for source, field in layout.items()]
+                    for _, _, layout, _ in PINNED
+                ],
+                pa.list_(pa.struct([("source", pa.string()), ("field", pa.string())])),
+            ),
+        }
+    )
+    # From Arrow the planner knows the size, so the join with it needs no shuffle.
+    return spark.createDataFrame(table)

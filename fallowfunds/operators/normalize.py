@@ -22,7 +22,7 @@ from fallowfunds.functions.parsing import (
     stringify_cell,
 )
 from fallowfunds.operators.lineage import FILE_UNREADABLE, SHEET_UNREADABLE
-from fallowfunds.operators.sheets import SHEET, UNKNOWN_SHEET, UNNAMED, data_rows, sheet_columns
+from fallowfunds.operators.sheets import SHEET, UNKNOWN_SHEET, data_rows, sheet_columns
 
 # The canonical fields in their order, by how they are read.
 CANONICAL_FIELDS = (
@@ -63,7 +63,7 @@ def mapping_outcome(sheets: DataFrame, mapping: DataFrame) -> DataFrame:
     ``mapping(period, sheet, skip_reason, column_map array<struct<source,field>>)`` is the
     pinned reference table.
     """
-    # `field` marks a match, as both reason and map may be empty.
+    # A flag marks the match, as a mapping may have neither reason nor columns.
     pinned = mapping.select(
         "period", "sheet", "skip_reason", "column_map", F.lit(True).alias("pinned")
     )
@@ -92,7 +92,7 @@ def _sheet_reason() -> Column:
     )
 
 
-def _position(field: str, keep_first_value: bool = False) -> Column:
+def _position(field: str) -> Column:
     """Position of a field's source column; of several sources the last in mapping order."""
     sources = F.filter("column_map", lambda m: m["field"] == field)
     source = F.try_element_at(sources, F.lit(-1))["source"]
@@ -110,47 +110,44 @@ def locate_fields(columns: DataFrame, mapping: DataFrame) -> DataFrame:
     ).drop("column_map", "skip_reason", "outcome")
 
 
-def project_canonical(rows: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Data rows with one ``<field>_cell`` struct (kind, text) per canonical field.
-
-    An unmapped field, or one whose source column a sheet lacks, is NULL.
-    """
+def _picked(rows: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Data rows with ``values array<string>``: the text of each canonical field, in order."""
     located = locate_fields(sheet_columns(rows), mapping)
-    picked = data_rows(rows, located).withColumn(
-        # Only for a sheet without any row in the header window.
-        "period", F.coalesce("period", period_from_key(F.col("key")))
-    ).withColumn(
-        "names",
-        F.coalesce(
-            "names",
-            F.transform(
-                F.sequence(F.lit(0), F.size("cells") - 1),
-                lambda i: F.concat(F.lit(UNNAMED), i.cast("string")),
-            ),
-        ),
+    value = F.transform(
+        "at",
+        lambda p: stringify_cell(F.get("cells", p)["kind"], F.get("cells", p)["text"]),
     )
-    no_columns = F.when(F.col("at").isNull(), F.lit("no header row"))
-    return picked.select(
+    # A sheet of blank rows only has no columns to find a period or names with.
+    period = F.coalesce("period", period_from_key(F.col("key")))
+    names = F.coalesce("names", F.array().cast("array<string>"))
+    return data_rows(rows, located).select(
         *SHEET,
-        "period",
+        period.alias("period"),
         "source_row",
-        "names",
+        names.alias("names"),
         "cells",
-        F.coalesce("sheet_reason", no_columns).alias("sheet_reason"),
-        *[_cell(i).alias(f"{f}_cell") for i, f in enumerate(CANONICAL_FIELDS)],
+        "sheet_reason",
+        "field_kinds",
+        value.alias("values"),
     )
 
 
-def _cell(i: int) -> Column:
-    cell = F.get("cells", F.get("at", F.lit(i)))
-    return F.when(
-        cell["text"].isNotNull(),
-        F.struct(
-            F.get("field_kinds", F.lit(i)).alias("kind"),
-            F.when(
-                F.get("field_kinds", F.lit(i)) == NUMBER, cell["text"]
-            ).otherwise(stringify_cell(cell["kind"], cell["text"])).alias("text"),
-        ),
+def _value(field: str) -> Column:
+    return F.get("values", F.lit(CANONICAL_FIELDS.index(field)))
+
+
+def _kind(field: str) -> Column:
+    return F.get("field_kinds", F.lit(CANONICAL_FIELDS.index(field)))
+
+
+def project_canonical(rows: DataFrame, mapping: DataFrame) -> DataFrame:
+    """Data rows with the text of every canonical field.
+
+    An unmapped field, or one whose source column a sheet lacks, is NULL. A number shows without
+    exponent and without ``.0``.
+    """
+    return _picked(rows, mapping).select(
+        *SHEET, "period", "source_row", *[_value(f).alias(f) for f in CANONICAL_FIELDS]
     )
 
 
@@ -159,60 +156,65 @@ def normalize(rows: DataFrame, mapping: DataFrame) -> DataFrame:
 
     Holds the staging columns, the key, and the original row as JSON where rejected. Split it
     with :func:`accepted` and :func:`rejected`.
-    """
-    picked = project_canonical(rows, mapping)
-
-    def kind(field: str) -> Column:
-        return F.col(f"{field}_cell.kind")
-
-    def text(field: str) -> Column:
-        return F.col(f"{field}_cell.text")
 
-    # The cleaned amount is read several times below, so it gets a column of its own.
-    staged = picked.withColumns({f"{f}_clean": clean_currency(text(f)) for f in AMOUNT_FIELDS})
+    Each step below is a projection of its own whose columns the next one reads more than once,
+    so that every value is picked, cleaned and parsed a single time.
+    """
+    picked = _picked(rows, mapping)
+    staged = picked.withColumns({f"{f}_clean": clean_currency(_value(f)) for f in AMOUNT_FIELDS})
     parsed = staged.withColumns(
         {
             **{
-                f: amount_from_cell(kind(f), text(f), F.col(f"{f}_clean")) for f in AMOUNT_FIELDS
+                f: amount_from_cell(_kind(f), _value(f), F.col(f"{f}_clean"))
+                for f in AMOUNT_FIELDS
             },
-            **{f: date_from_cell(kind(f), text(f)) for f in DATE_FIELDS},
+            **{f: date_from_cell(_kind(f), _value(f)) for f in DATE_FIELDS},
         }
     )
 
     def unreadable(field: str) -> Column:
-        shown = F.when(kind(field) == NUMBER, text(field)).otherwise(python_repr(text(field)))
-        return F.when(
-            text(field).isNotNull() & F.col(field).isNull(),
-            F.concat(F.lit(f"could not parse {field} from "), shown),
-        )
+        return F.when(_value(field).isNotNull() & F.col(field).isNull(), F.lit(field))
+
+    bad_field = F.coalesce(*[unreadable(f) for f in (*AMOUNT_FIELDS, *DATE_FIELDS)])
+    judged = parsed.withColumn(
+        "bad_field", F.when(F.col("sheet_reason").isNull(), bad_field)
+    ).withColumn("accepted", F.col("sheet_reason").isNull() & F.col("bad_field").isNull())
 
-    reasons = [F.col("sheet_reason"), *[unreadable(f) for f in (*AMOUNT_FIELDS, *DATE_FIELDS)]]
-    judged = parsed.withColumn("reject_reason", F.coalesce(*reasons))
+    at = F.array_position(F.array(*[F.lit(f) for f in CANONICAL_FIELDS]), F.col("bad_field")) - 1
+    bad_value = F.get("values", at.cast("int"))
+    shown = F.when(F.get("field_kinds", at.cast("int")) == NUMBER, bad_value).otherwise(
+        python_repr(bad_value)
+    )
+    reason = F.coalesce(
+        "sheet_reason",
+        F.concat(F.lit("could not parse "), "bad_field", F.lit(" from "), shown),
+    )
     original = F.to_json(
         F.map_from_arrays(
             "names",
             F.transform(
-                F.sequence(F.lit(0), F.size("names") - 1), lambda i: F.get("cells", i)["text"]
+                "names", lambda _, i: F.get("cells", i)["text"]
             ),
         )
     )
-    fields = {f: stringify_cell(kind(f), text(f)) for f in CANONICAL_FIELDS}
-    fields |= {f"{f}_raw": fields[f] for f in RAW_KEPT}
+    fields = {f: _value(f) for f in CANONICAL_FIELDS}
+    fields |= {f"{f}_raw": _value(f) for f in RAW_KEPT}
     fields |= {f: F.col(f) for f in (*AMOUNT_FIELDS, *DATE_FIELDS)}
-    fields |= {f: id_from_cell(kind(f), text(f)) for f in ID_FIELDS}
+    fields |= {f: id_from_cell(_kind(f), _value(f)) for f in ID_FIELDS}
     fields["capture_id"] = hash_id(F.col("key"))
     fields |= {f: F.col(f) for f in ("period", "sheet", "source_row")}
     return judged.select(
         "key",
         *[fields[c].alias(c) for c in STAGING.columns],
-        "reject_reason",
-        F.when(F.col("reject_reason").isNotNull(), original).alias("raw_row"),
+        F.when(~F.col("accepted"), reason).alias("reject_reason"),
+        F.when(~F.col("accepted"), original).alias("raw_row"),
+        "accepted",
     )
 
 
 def accepted(normalized: DataFrame) -> DataFrame:
     """The staging table."""
-    return STAGING.project(normalized.filter("reject_reason IS NULL"))
+    return STAGING.project(normalized.filter("accepted"))
 
 
 def unreadable_rejects(errors: DataFrame) -> DataFrame:
@@ -233,7 +235,7 @@ def unreadable_rejects(errors: DataFrame) -> DataFrame:
 def rejected(normalized: DataFrame, errors: DataFrame | None = None) -> DataFrame:
     """The reject table, unreadable input included when ``errors`` is given."""
     rows = REJECT.project(
-        normalized.filter("reject_reason IS NOT NULL").withColumn("reason", F.col("reject_reason"))
+        normalized.filter("NOT accepted").withColumn("reason", F.col("reject_reason"))
     )
     return rows if errors is None else rows.unionByName(unreadable_rejects(errors))
 

@@ -133,23 +133,25 @@ def sheet_columns(rows: DataFrame, max_rows: int = HEADER_SCAN_ROWS) -> DataFram
             F.max("pos").alias("last"),
         )
     )
-    width = F.greatest(F.size("header"), F.coalesce(F.col("last") + 1, F.lit(0)))
+    # A sheet that starts below the header window has columns, but no names for them.
+    header = F.coalesce("header", F.array().cast("array<string>"))
+    width = F.greatest(F.size(header), F.coalesce(F.col("last") + 1, F.lit(0)))
     positions = F.when(width > 0, F.sequence(F.lit(0), width - 1)).otherwise(
         F.array().cast("array<int>")
     )
 
     def name(i: Column) -> Column:
-        text = F.get("header", i)
+        text = F.get(header, i)
         return F.when(
             text.isNull() | (text == ""), F.concat(F.lit(UNNAMED), i.cast("string"))
         ).otherwise(text)
 
-    return headers.join(kinds, SHEET, "left").select(
+    return headers.join(kinds, SHEET, "full_outer").select(
         *SHEET,
-        "header_row",
+        F.coalesce("header_row", F.lit(0)).alias("header_row"),
         _unique_names(F.transform(positions, name)).alias("names"),
         F.transform(
-            positions, lambda i: F.coalesce(F.col("kind_at")[i], F.lit(TEXT))
+            positions, lambda i: F.coalesce(F.try_element_at("kind_at", i), F.lit(TEXT))
         ).alias("kinds"),
     )
 
@@ -158,10 +160,10 @@ def data_rows(rows: DataFrame, columns: DataFrame) -> DataFrame:
     """The rows below the header with their 0-based number and their sheet's columns.
 
     ``columns`` is small next to the rows; adaptive execution broadcasts it when its measured
-    size allows and splits oversized sheets when it does not. A sheet without a row in the
-    header window keeps all its rows.
+    size allows and splits oversized sheets when it does not. Only a sheet of blank rows has no
+    columns; it keeps its rows.
     """
-    start = F.coalesce(F.col("header_row"), F.lit(0).cast("bigint"))
+    start = F.coalesce(F.col("header_row"), F.lit(0))
     return (
         rows.join(columns, SHEET, "left")
         .filter(F.col("row_idx") > start)

@@ -108,13 +108,18 @@ def test_dates(spark):
     assert column_of(spark, numbers, lambda c: fn.date_from_cell(F.lit("number"), c)) == expected
 
 
+def number_id(c):
+    kind = F.lit("number")
+    return fn.id_from_cell(kind, fn.stringify_cell(kind, c))
+
+
 def test_ids(spark):
     texts = ["900123456", "80.123.456", "Desconocido", "desconocido", None, ""]
     expected = ["900123456", "80123456", None, None, None, None]
     assert column_of(spark, texts, fn.normalize_id) == expected
     numbers = ["900123456", "900123456.0", "5.8092044001E10", "7.6E22", "12.9", "NaN", "-5.5"]
     expected = ["900123456", "900123456", "58092044001", "76000000000000000000000", "12", None, "5"]
-    assert column_of(spark, numbers, lambda c: fn.id_from_cell(F.lit("number"), c)) == expected
+    assert column_of(spark, numbers, number_id) == expected
 
 
 def test_stringify(spark):
