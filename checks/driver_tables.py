@@ -17,6 +17,7 @@ from fallowfunds.functions.identifiers import numeric_check_digit
 from fallowfunds.mappings import PINNED
 from fallowfunds.operators.normalize import CANONICAL_FIELDS
 from fallowfunds.session import spread
+from fallowfunds.sources.scratch import staged
 
 # Periods the shipping dates 1995..2001 become when moved 22 years on.
 PERIODS = [f"{year}-{half}" for year in range(2017, 2024) for half in (1, 2)]
@@ -379,7 +380,12 @@ def sheet_layouts() -> list[dict]:
 
 
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All sheets as rows of cells: 0..7 title rows, the header, then the data."""
+    """All sheets as rows of cells, stored as decoded publications would be."""
+    return staged(spark, "raw_rows", sf_dir, lambda: print_sheets(spark, sf_dir))
+
+
+def print_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """0..7 title rows per sheet, the header, then the data."""
     layouts = sheet_layouts()
     strings = pa.list_(pa.string())
     layout = spark.createDataFrame(

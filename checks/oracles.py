@@ -340,8 +340,8 @@ _FIELD_TEXT = {
     "WHEN o % 97 = 0 THEN 'S/N' ELSE 'D-' || o || '.' || n END",
     "deposit_type": "flag",
     "classification": "CASE line_status WHEN 'O' THEN 'Ordinario' ELSE 'Especial' END",
-    # 2021-1 prints a number with an exponent; its digits are all that matters here.
-    "court_account": "CASE WHEN period = '2021-1' THEN CAST(58092000000 + o % 4999 AS VARCHAR) "
+    "court_account": "CASE WHEN period = '2021-1' "
+    "THEN CAST((58092000000 + o % 4999) / 1e10 AS VARCHAR) || 'E10' "
     "WHEN o % 7 = 0 THEN NULL WHEN o % 7 = 1 THEN CAST(o % 10 AS VARCHAR) "
     "WHEN p % 3 = 0 THEN CAST(58092000000 + o % 4999 AS VARCHAR) "
     "WHEN p % 3 = 1 THEN '0' || (58092000000 + o % 4999) "
@@ -409,8 +409,10 @@ cell AS (
     CASE WHEN t.field = 'amount_cop' AND t.period = '2022-2' AND NOT mixed THEN 'number'
       WHEN {_NUMBER_FIELD.replace('field', 't.field').replace('period', 't.period')} THEN 'number'
       WHEN t.field = 'origin_date' AND t.period = '2023-2' THEN 'datetime' ELSE 'text' END AS kind,
+    CASE WHEN t.field = 'court_account' AND t.period = '2021-1'
+      THEN CAST(CAST(CAST(t.text AS DOUBLE) AS BIGINT) AS VARCHAR) ELSE
     regexp_replace(t.text, CASE WHEN {_NUMBER_FIELD.replace('field', 't.field').replace('period', 't.period')}
-      OR (t.field = 'amount_cop' AND t.period = '2022-2') THEN '\\.0+$' ELSE '^$' END, '') AS shown
+      OR (t.field = 'amount_cop' AND t.period = '2022-2') THEN '\\.0+$' ELSE '^$' END, '') END AS shown
   FROM texts t JOIN named l ON l.period = t.period AND l.sheet = t.sheet AND l.field = t.field
   JOIN odd_sheet o ON o.key = t.key AND o.sheet = t.sheet)"""
 
@@ -441,6 +443,10 @@ _shown = {
     )
     for f, t in _FIELD_TEXT.items()
 }
+_shown["court_account"] = (
+    "CASE WHEN period = '2021-1' THEN CAST(58092000000 + o % 4999 AS VARCHAR) "
+    f"ELSE {_FIELD_TEXT['court_account']} END"
+)
 _shown["amount_cop"] = (
     f"CASE WHEN period = '2022-2' THEN regexp_replace({_FIELD_TEXT['amount_cop']}, '\\.0+$', '') "
     f"ELSE {_FIELD_TEXT['amount_cop']} END"
@@ -488,7 +494,7 @@ parsed AS (
       THEN 'no column mapping for period=''' || period || ''' sheet=''Hoja1'''
       WHEN period = '2018-2' AND pub.sheet = 'Hoja1'
       THEN {quoted(next(reason for _, _, _, reason in PINNED if reason))} END AS sheet_reason
-  FROM pub JOIN odd_sheet x ON x.key = pub.key AND x.sheet = pub.sheet),
+  FROM (SELECT * FROM pub JOIN odd_sheet USING (key, sheet)) AS pub),
 judged AS (
   SELECT *, CASE WHEN sheet_reason IS NOT NULL THEN NULL
     WHEN amount_cop IS NULL AND amount_cop_raw IS NOT NULL THEN 'amount_cop'
@@ -664,8 +670,7 @@ def build() -> dict[str, str]:
     raw = {
         "detect_header_row": f"WITH {PUB}, {HEADERS} SELECT key, sheet, header_row FROM title",
         "assemble_rows": f"WITH {RAW} SELECT key, sheet, source_row, column_name AS column, kind, "
-        "CASE WHEN field = 'court_account' AND period = '2021-1' "
-        "THEN CAST(CAST(text AS DOUBLE) / 1e10 AS VARCHAR) || 'E10' ELSE text END AS text FROM cell",
+        "text FROM cell",
         "profile_columns": f"WITH {PROFILE} SELECT file, sheet, \"column\", position, dtype, "
         "null_rate, distinct_count FROM prof",
         "profile_read_errors": f"WITH {ERRORS} SELECT key AS file, coalesce(sheet, '<unknown>') "

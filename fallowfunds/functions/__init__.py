@@ -15,8 +15,10 @@ from fallowfunds.functions.identifiers import (
 from fallowfunds.functions.parsing import (
     amount_from_cell,
     clean_currency,
+    clean_date,
     currency_from_clean,
     date_from_cell,
+    date_from_clean,
     id_from_cell,
     parse_currency,
     parse_date,
@@ -36,8 +38,10 @@ __all__ = [
     "claim_key",
     "classify_category",
     "clean_currency",
+    "clean_date",
     "currency_from_clean",
     "date_from_cell",
+    "date_from_clean",
     "document_type_label",
     "format_cop",
     "hash_id",

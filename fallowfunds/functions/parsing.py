@@ -102,20 +102,36 @@ def amount_from_cell(kind: Column, text: Column, clean: Column | None = None) ->
     )
 
 
-def _date_from_stripped(text: Column) -> Column:
-    day = F.substring_index(text, "/", 1)
-    month = F.substring_index(F.substring_index(text, "/", 2), "/", -1)
-    year = F.substring_index(text, "/", -1)
+def clean_date(kind: Column, text: Column) -> Column:
+    """First half of :func:`date_from_cell`: a number cut to its integer digits, a text stripped.
+
+    Kept apart for the same reason as :func:`clean_currency`.
+    """
+    return (
+        F.when(kind == NUMBER, text.try_cast("double").try_cast("bigint").cast("string"))
+        .when(kind == BOOL, F.lit(None).cast("string"))
+        .otherwise(strip(text))
+    )
+
+
+def date_from_clean(clean: Column) -> Column:
+    """Second half: ISO prefix, d/m/yyyy or yyyyMMdd. A day not in the calendar gives NULL.
+
+    An integer can only have the third shape, so the kind does not matter any more.
+    """
+    day = F.substring_index(clean, "/", 1)
+    month = F.substring_index(F.substring_index(clean, "/", 2), "/", -1)
+    year = F.substring_index(clean, "/", -1)
     iso = (
-        F.when(text.rlike(ISO_PREFIX), F.left(text, F.lit(10)))
+        F.when(clean.rlike(ISO_PREFIX), F.left(clean, F.lit(10)))
         .when(
-            text.rlike(DAY_MONTH_YEAR),
+            clean.rlike(DAY_MONTH_YEAR),
             F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day, 2, "0")),
         )
         .when(
-            text.rlike(COMPACT_DATE),
+            clean.rlike(COMPACT_DATE),
             F.concat_ws(
-                "-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2)
+                "-", F.substring(clean, 1, 4), F.substring(clean, 5, 2), F.substring(clean, 7, 2)
             ),
         )
     )
@@ -123,19 +139,13 @@ def _date_from_stripped(text: Column) -> Column:
 
 
 def parse_date(text: Column) -> Column:
-    """Date in text: ISO prefix, d/m/yyyy or yyyyMMdd. A day not in the calendar gives NULL."""
-    return _date_from_stripped(strip(text))
+    """Date in text to a date."""
+    return date_from_clean(strip(text))
 
 
 def date_from_cell(kind: Column, text: Column) -> Column:
     """Date of a cell of any kind; a number is cut to an integer and read as yyyyMMdd."""
-    number = text.try_cast("double").try_cast("bigint").cast("string")
-    readable = (
-        F.when(kind == NUMBER, F.when(number.rlike(COMPACT_DATE), number))
-        .when(kind == BOOL, F.lit(None).cast("string"))
-        .otherwise(strip(text))
-    )
-    return _date_from_stripped(readable)
+    return date_from_clean(clean_date(kind, text))
 
 
 def normalize_digits(text: Column) -> Column:

@@ -6,6 +6,8 @@ then only picks its cells by position and parses them, all in native expressions
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,8 @@ from fallowfunds.functions.parsing import (
     NUMBER,
     amount_from_cell,
     clean_currency,
-    date_from_cell,
+    clean_date,
+    date_from_clean,
     id_from_cell,
     period_from_key,
     python_repr,
@@ -161,14 +164,17 @@ def normalize(rows: DataFrame, mapping: DataFrame) -> DataFrame:
     so that every value is picked, cleaned and parsed a single time.
     """
     picked = _picked(rows, mapping)
-    staged = picked.withColumns({f"{f}_clean": clean_currency(_value(f)) for f in AMOUNT_FIELDS})
+    staged = picked.withColumns(
+        {f"{f}_clean": clean_currency(_value(f)) for f in AMOUNT_FIELDS}
+        | {f"{f}_clean": clean_date(_kind(f), _value(f)) for f in DATE_FIELDS}
+    )
     parsed = staged.withColumns(
         {
             **{
                 f: amount_from_cell(_kind(f), _value(f), F.col(f"{f}_clean"))
                 for f in AMOUNT_FIELDS
             },
-            **{f: date_from_cell(_kind(f), _value(f)) for f in DATE_FIELDS},
+            **{f: date_from_clean(F.col(f"{f}_clean")) for f in DATE_FIELDS},
         }
     )
 
@@ -179,6 +185,14 @@ def normalize(rows: DataFrame, mapping: DataFrame) -> DataFrame:
     judged = parsed.withColumn(
         "bad_field", F.when(F.col("sheet_reason").isNull(), bad_field)
     ).withColumn("accepted", F.col("sheet_reason").isNull() & F.col("bad_field").isNull())
+    # Counted where rows are judged, for the run's own log. The split into accepted and rejected
+    # rows stays above this point: pushed below the projections, its condition would parse every
+    # value again.
+    judged = judged.observe(
+        f"normalize-{uuid.uuid4()}",
+        F.count(F.lit(1)).alias("rows_read"),
+        F.count_if(F.col("accepted")).alias("rows_ok"),
+    )
 
     at = F.array_position(F.array(*[F.lit(f) for f in CANONICAL_FIELDS]), F.col("bad_field")) - 1
     bad_value = F.get("values", at.cast("int"))
