@@ -12,7 +12,7 @@ from fallowfunds.mappings import PINNED
 
 AS_OF = "DATE '1999-06-30'"
 RUN_AT = "TIMESTAMP '2026-01-15 12:00:00'"
-BATCH = 500
+BATCH = 100
 
 
 def quoted(text: str | None) -> str:

@@ -25,7 +25,7 @@ from fallowfunds.operators import (
 
 AS_OF = dt.date(1999, 6, 30)
 RUN_AT = dt.datetime(2026, 1, 15, 12, 0, 0)
-BATCH = 500
+BATCH = 100
 
 ROW = ["o", "p", "s", "n", "source_row"]
 
