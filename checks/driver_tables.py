@@ -15,6 +15,7 @@ from fallowfunds import functions as fn
 from fallowfunds.contracts import STAGING
 from fallowfunds.functions.identifiers import numeric_check_digit
 from fallowfunds.mappings import PINNED
+from fallowfunds.operators import sheets
 from fallowfunds.operators.normalize import CANONICAL_FIELDS
 from fallowfunds.session import spread
 from fallowfunds.sources.scratch import staged
@@ -77,7 +78,11 @@ def _account(format_by: str) -> Column:
 
 
 def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The staging table as a normalisation run would have left it."""
+    """The staging table as a normalisation run would have left it, in storage."""
+    return staged(spark, "staging", sf_dir, lambda: staged_rows(spark, sf_dir))
+
+
+def staged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = published(spark, sf_dir)
     base = F.expr("900000000 + p")
     values = {
@@ -384,6 +389,13 @@ def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staged(spark, "raw_rows", sf_dir, lambda: print_sheets(spark, sf_dir))
 
 
+def sheet_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of those sheets, stored as the jobs store them."""
+    return staged(
+        spark, "sheet_columns", sf_dir, lambda: sheets.sheet_columns(raw_rows(spark, sf_dir))
+    )
+
+
 def print_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """0..7 title rows per sheet, the header, then the data."""
     layouts = sheet_layouts()
@@ -417,8 +429,8 @@ def print_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("cells"),
         )
     )
-    sheets = published(spark, sf_dir).select("key", "period", "sheet").distinct()
-    above = sheets.join(layout, ["period", "sheet"]).withColumn("titles", F.expr(titles))
+    present = published(spark, sf_dir).select("key", "period", "sheet").distinct()
+    above = present.join(layout, ["period", "sheet"]).withColumn("titles", F.expr(titles))
     cell = "struct<kind:string,text:string>"
 
     def shown(text: Column) -> Column:

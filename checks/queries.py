@@ -22,6 +22,7 @@ from fallowfunds.operators import (
     search,
     sheets,
 )
+from fallowfunds.sources.scratch import staged
 
 AS_OF = dt.date(1999, 6, 30)
 RUN_AT = dt.datetime(2026, 1, 15, 12, 0, 0)
@@ -200,7 +201,7 @@ def detect_header_row(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def assemble_rows(spark: SparkSession, sf: str) -> DataFrame:
-    rows = sheets.assemble_rows(d.raw_rows(spark, sf))
+    rows = sheets.assemble_rows(d.raw_rows(spark, sf), d.sheet_columns(spark, sf))
     return rows.select(
         "key", "sheet", "source_row", F.explode("cells").alias("column", "cell")
     ).select(
@@ -210,7 +211,7 @@ def assemble_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def profile_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return sheets.profile_columns(d.raw_rows(spark, sf))
+    return sheets.profile_columns(d.raw_rows(spark, sf), d.sheet_columns(spark, sf))
 
 
 def profile_read_errors(spark: SparkSession, sf: str) -> DataFrame:
@@ -218,7 +219,7 @@ def profile_read_errors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def schema_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    profiles = sheets.profile_columns(d.raw_rows(spark, sf))
+    profiles = sheets.profile_columns(d.raw_rows(spark, sf), d.sheet_columns(spark, sf))
     return sheets.schema_matrix(profiles, fn.period_from_key(F.col("file")), d.PERIODS)
 
 
@@ -230,12 +231,16 @@ def mapping_outcome(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def project_canonical(spark: SparkSession, sf: str) -> DataFrame:
-    rows = normalize.project_canonical(d.raw_rows(spark, sf), pinned_mapping(spark))
+    rows = normalize.project_canonical(
+        d.raw_rows(spark, sf), pinned_mapping(spark), d.sheet_columns(spark, sf)
+    )
     return rows.select("key", "sheet", "source_row", *normalize.CANONICAL_FIELDS)
 
 
 def _normalized(spark: SparkSession, sf: str) -> DataFrame:
-    return normalize.normalize(d.raw_rows(spark, sf), pinned_mapping(spark))
+    return normalize.normalize(
+        d.raw_rows(spark, sf), pinned_mapping(spark), d.sheet_columns(spark, sf)
+    )
 
 
 def normalize_ok(spark: SparkSession, sf: str) -> DataFrame:
@@ -262,7 +267,8 @@ def reconciliation(spark: SparkSession, sf: str) -> DataFrame:
     rows, errors = d.raw_rows(spark, sf), d.raw_errors(spark, sf)
     normalized = _normalized(spark, sf)
     return normalize.reconcile(
-        rows, errors, normalize.accepted(normalized), normalize.rejected(normalized, errors)
+        rows, errors, normalize.accepted(normalized), normalize.rejected(normalized, errors),
+        d.sheet_columns(spark, sf),
     )
 
 
@@ -400,32 +406,47 @@ def enrichment_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 @dataclass
 class Core:
-    """The core tables of one staging frame."""
+    """The core tables searches read."""
 
-    staging: DataFrame
     files: DataFrame
     captures: DataFrame
+    claims: DataFrame
+    observations: DataFrame
+    claim_parties: DataFrame
+    court_names: DataFrame
 
     @property
     def deposits(self) -> DataFrame:
         return search.party_deposits(
-            lifecycle.build_claim_parties(self.staging),
-            lifecycle.build_claims(self.staging),
-            lifecycle.build_observations(self.staging),
-            self.captures,
-            self.files,
-            identity.build_court_names(self.staging),
+            self.claim_parties, self.claims, self.observations, self.captures, self.files,
+            self.court_names,
         )
 
 
 def _core(spark: SparkSession, sf: str) -> Core:
-    files = lineage.build_files(d.objects(spark, sf))
-    captures = files.select(F.col("file_id").alias("capture_id"), "file_id")
-    return Core(d.staging(spark, sf), files, captures)
+    """Core tables as the builds store them, each written once by the operator that builds it."""
+
+    def stored(name: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+        return staged(spark, name, sf, lambda: build(spark, sf))
+
+    files = stored("file", build_files)
+    captures = stored("capture", build_captures)
+    return Core(
+        files,
+        captures,
+        stored("claim", build_claims),
+        stored("observation", build_observations),
+        stored("claim_party", build_claim_parties),
+        stored("court_name", build_court_names),
+    )
+
+
+def _stored_parties(spark: SparkSession, sf: str) -> DataFrame:
+    return staged(spark, "party", sf, lambda: apply_classification(spark, sf))
 
 
 def find_party(spark: SparkSession, sf: str) -> DataFrame:
-    return search.find_party(d.search_requests(spark, sf), apply_classification(spark, sf))
+    return search.find_party(d.search_requests(spark, sf), _stored_parties(spark, sf))
 
 
 def latest_enrichment(spark: SparkSession, sf: str) -> DataFrame:
@@ -434,13 +455,11 @@ def latest_enrichment(spark: SparkSession, sf: str) -> DataFrame:
 
 def claim_last_period(spark: SparkSession, sf: str) -> DataFrame:
     core = _core(spark, sf)
-    return search.claim_last_period(
-        lifecycle.build_observations(core.staging), core.captures, core.files
-    )
+    return search.claim_last_period(core.observations, core.captures, core.files)
 
 
 def current_court_name(spark: SparkSession, sf: str) -> DataFrame:
-    return search.current_court_name(build_court_names(spark, sf))
+    return search.current_court_name(_core(spark, sf).court_names)
 
 
 def party_deposits(spark: SparkSession, sf: str) -> DataFrame:
@@ -459,10 +478,10 @@ def corpus_stats(spark: SparkSession, sf: str) -> DataFrame:
     core = _core(spark, sf)
     return search.corpus_stats(
         core.files,
-        lifecycle.build_observations(core.staging),
-        identity.build_courts(core.staging),
-        identity.build_parties(core.staging),
-        lifecycle.build_claims(core.staging),
+        core.observations,
+        staged(spark, "court", sf, lambda: build_courts(spark, sf)),
+        _stored_parties(spark, sf),
+        core.claims,
     )
 
 
@@ -483,7 +502,7 @@ def party_search(spark: SparkSession, sf: str) -> DataFrame:
     core = _core(spark, sf)
     return search.search_parties(
         d.search_requests(spark, sf),
-        apply_classification(spark, sf),
+        _stored_parties(spark, sf),
         core.deposits,
         d.enrichment_history(spark, sf),
         core.files,
@@ -498,11 +517,21 @@ def party_search(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_to_party_summary(spark: SparkSession, sf: str) -> DataFrame:
-    """From sheet cells to party totals, all steps in one plan."""
-    staged = normalize.accepted(_normalized(spark, sf))
+    """From sheet cells to party totals: all steps computed, the accepted rows stored between."""
+    staging = staged(
+        spark, "accepted", sf, lambda: normalize.accepted(_normalized(spark, sf))
+    )
     files = lineage.build_files(d.objects(spark, sf))
     captures = files.select(F.col("file_id").alias("capture_id"), "file_id")
-    return search.party_summary(Core(staged, files, captures).deposits)
+    deposits = search.party_deposits(
+        lifecycle.build_claim_parties(staging),
+        lifecycle.build_claims(staging),
+        lifecycle.build_observations(staging),
+        captures,
+        files,
+        identity.build_court_names(staging),
+    )
+    return search.party_summary(deposits)
 
 
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {

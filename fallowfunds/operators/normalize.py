@@ -113,9 +113,9 @@ def locate_fields(columns: DataFrame, mapping: DataFrame) -> DataFrame:
     ).drop("column_map", "skip_reason", "outcome")
 
 
-def _picked(rows: DataFrame, mapping: DataFrame) -> DataFrame:
+def _picked(rows: DataFrame, mapping: DataFrame, columns: DataFrame | None) -> DataFrame:
     """Data rows with ``values array<string>``: the text of each canonical field, in order."""
-    located = locate_fields(sheet_columns(rows), mapping)
+    located = locate_fields(sheet_columns(rows) if columns is None else columns, mapping)
     value = F.transform(
         "at",
         lambda p: stringify_cell(F.get("cells", p)["kind"], F.get("cells", p)["text"]),
@@ -143,27 +143,33 @@ def _kind(field: str) -> Column:
     return F.get("field_kinds", F.lit(CANONICAL_FIELDS.index(field)))
 
 
-def project_canonical(rows: DataFrame, mapping: DataFrame) -> DataFrame:
+def project_canonical(
+    rows: DataFrame, mapping: DataFrame, columns: DataFrame | None = None
+) -> DataFrame:
     """Data rows with the text of every canonical field.
 
     An unmapped field, or one whose source column a sheet lacks, is NULL. A number shows without
     exponent and without ``.0``.
     """
-    return _picked(rows, mapping).select(
+    return _picked(rows, mapping, columns).select(
         *SHEET, "period", "source_row", *[_value(f).alias(f) for f in CANONICAL_FIELDS]
     )
 
 
-def normalize(rows: DataFrame, mapping: DataFrame) -> DataFrame:
+def normalize(
+    rows: DataFrame, mapping: DataFrame, columns: DataFrame | None = None
+) -> DataFrame:
     """Every data row once, parsed, with ``reject_reason`` NULL where it is accepted.
 
+    ``columns`` is the stored result of ``sheets.sheet_columns``, worked out here if not given.
+
     Holds the staging columns, the key, and the original row as JSON where rejected. Split it
     with :func:`accepted` and :func:`rejected`.
 
     Each step below is a projection of its own whose columns the next one reads more than once,
     so that every value is picked, cleaned and parsed a single time.
     """
-    picked = _picked(rows, mapping)
+    picked = _picked(rows, mapping, columns)
     staged = picked.withColumns(
         {f"{f}_clean": clean_currency(_value(f)) for f in AMOUNT_FIELDS}
         | {f"{f}_clean": clean_date(_kind(f), _value(f)) for f in DATE_FIELDS}
@@ -255,14 +261,19 @@ def rejected(normalized: DataFrame, errors: DataFrame | None = None) -> DataFram
 
 
 def reconcile(
-    rows: DataFrame, errors: DataFrame, staging: DataFrame, rejects: DataFrame
+    rows: DataFrame,
+    errors: DataFrame,
+    staging: DataFrame,
+    rejects: DataFrame,
+    columns: DataFrame | None = None,
 ) -> DataFrame:
     """Per key: rows read, accepted, rejected, and a message where they do not add up.
 
     Rows read are counted at the source, apart from the other two. Each count is reduced on the
     map side before the counts of a key are added up.
     """
-    read = data_rows(rows, sheet_columns(rows)).select("key").unionByName(errors.select("key"))
+    columns = sheet_columns(rows) if columns is None else columns
+    read = data_rows(rows, columns).select("key").unionByName(errors.select("key"))
     none = F.lit(0).cast("bigint")
     n = F.count(F.lit(1))
 

@@ -159,9 +159,9 @@ def sheet_columns(rows: DataFrame, max_rows: int = HEADER_SCAN_ROWS) -> DataFram
 def data_rows(rows: DataFrame, columns: DataFrame) -> DataFrame:
     """The rows below the header with their 0-based number and their sheet's columns.
 
-    ``columns`` is small next to the rows; adaptive execution broadcasts it when its measured
-    size allows and splits oversized sheets when it does not. Only a sheet of blank rows has no
-    columns; it keeps its rows.
+    Pass ``columns`` as a stored table: its size is then known when the join is planned, and the
+    rows are not shuffled unless it is too large to broadcast. Beyond that, adaptive execution
+    splits oversized sheets. Only a sheet of blank rows has no columns; it keeps its rows.
     """
     start = F.coalesce(F.col("header_row"), F.lit(0))
     return (
@@ -172,9 +172,9 @@ def data_rows(rows: DataFrame, columns: DataFrame) -> DataFrame:
     )
 
 
-def assemble_rows(rows: DataFrame, max_rows: int = HEADER_SCAN_ROWS) -> DataFrame:
+def assemble_rows(rows: DataFrame, columns: DataFrame | None = None) -> DataFrame:
     """(key, sheet, source_row, cells map<name, struct<kind,text>>), the kind being the column's."""
-    named = data_rows(rows, sheet_columns(rows, max_rows))
+    named = data_rows(rows, sheet_columns(rows) if columns is None else columns)
     cell = F.transform(
         F.sequence(F.lit(0), F.size("names") - 1),
         lambda i: F.struct(
@@ -186,13 +186,13 @@ def assemble_rows(rows: DataFrame, max_rows: int = HEADER_SCAN_ROWS) -> DataFram
     )
 
 
-def profile_columns(rows: DataFrame, max_rows: int = HEADER_SCAN_ROWS) -> DataFrame:
+def profile_columns(rows: DataFrame, columns: DataFrame | None = None) -> DataFrame:
     """Per column: position, type, share of blanks (4 decimals) and exact distinct values.
 
     A blank counts as one distinct value. Values are first reduced to distinct ones on the map
     side, keyed by value, so neither a long column nor a frequent value lands in one task.
     """
-    columns = sheet_columns(rows, max_rows)
+    columns = sheet_columns(rows) if columns is None else columns
     data = data_rows(rows, columns)
     heights = data.groupBy(*SHEET).agg(F.count(F.lit(1)).alias("height"))
     kind = F.get("kinds", F.col("pos"))
@@ -247,9 +247,11 @@ def profile_read_errors(errors: DataFrame) -> DataFrame:
     )
 
 
-def profile(rows: DataFrame, errors: DataFrame, max_rows: int = HEADER_SCAN_ROWS) -> DataFrame:
+def profile(
+    rows: DataFrame, errors: DataFrame, columns: DataFrame | None = None
+) -> DataFrame:
     """Profile of every readable column, and a row for whatever could not be read."""
-    return profile_columns(rows, max_rows).unionByName(profile_read_errors(errors))
+    return profile_columns(rows, columns).unionByName(profile_read_errors(errors))
 
 
 def schema_matrix(profiles: DataFrame, period: Column, periods: Sequence[str]) -> DataFrame:

@@ -15,19 +15,30 @@ from fallowfunds import contracts as c
 from fallowfunds.mappings import pinned_mapping
 from fallowfunds.operators import enrichment, identity, lifecycle, lineage, normalize, search, sheets
 from fallowfunds.sources import reading, writing
+from fallowfunds.sources.scratch import staged
 
 
 class ReconciliationError(RuntimeError):
     """Rows read and rows kept do not add up."""
 
 
+def _columns(spark: SparkSession, raw_rows: str) -> DataFrame:
+    """The columns of every sheet, stored, as each step joins the rows with them."""
+    return staged(
+        spark,
+        "sheet_columns",
+        raw_rows,
+        lambda: sheets.sheet_columns(reading.read_raw_rows(spark, raw_rows)),
+    )
+
+
 def profile_publications(
     spark: SparkSession, raw_rows: str, out: str, raw_errors: str | None = None
 ) -> None:
     """Profile every column of every sheet into a CSV."""
     rows = reading.read_raw_rows(spark, raw_rows)
     errors = reading.read_raw_errors(spark, raw_errors)
-    writing.write_profile(sheets.profile(rows, errors), out)
+    writing.write_profile(sheets.profile(rows, errors, _columns(spark, raw_rows)), out)
 
 
 def normalize_publications(
@@ -43,7 +54,10 @@ def normalize_publications(
     """
     rows = reading.read_raw_rows(spark, raw_rows)
     errors = reading.read_raw_errors(spark, raw_errors)
-    normalized = normalize.normalize(rows, pinned_mapping(spark) if mapping is None else mapping)
+    columns = _columns(spark, raw_rows)
+    normalized = normalize.normalize(
+        rows, pinned_mapping(spark) if mapping is None else mapping, columns
+    )
     writing.write_normalized(normalized, errors, root)
     staging, rejects = reading.read_staging(spark, root), reading.read_rejects(spark, root)
     present = rows.select("key").unionByName(errors.select("key")).distinct()
@@ -51,7 +65,7 @@ def normalize_publications(
     mine = staging.join(ids.select("capture_id"), "capture_id", "left_semi")
     c.validate(mine, c.STAGING)
     checked = normalize.reconcile(
-        rows, errors, mine, rejects.join(ids.select("key"), "key", "left_semi")
+        rows, errors, mine, rejects.join(ids.select("key"), "key", "left_semi"), columns
     )
     # A few lines for the message; the count of wrong files is not needed.
     wrong = checked.filter("error IS NOT NULL").select("key", "error").limit(10).collect()

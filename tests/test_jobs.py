@@ -161,7 +161,7 @@ def test_discover_and_hash(spark, tmp_path):
     folder = tmp_path / "raw" / "2024-1"
     folder.mkdir(parents=True)
     (folder / "a.xlsx").write_bytes(b"abc")
-    (folder / "b.xlsx").write_bytes(b"")
+    (folder / "b.xlsx").write_bytes(b"defg")
     found = {r["key"].rsplit("/", 1)[1]: r for r in reading.discover(spark, str(tmp_path)).collect()}
     assert set(found) == {"a.xlsx", "b.xlsx"} and found["a.xlsx"]["length"] == 3
     hashed = {
