@@ -263,9 +263,14 @@ def unreadable_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return normalize.unreadable_rejects(d.raw_errors(spark, sf))
 
 
+def _stored_normalized(spark: SparkSession, sf: str) -> DataFrame:
+    """The judged rows as the job stores them: both outcomes in one table."""
+    return staged(spark, "normalized", sf, lambda: _normalized(spark, sf))
+
+
 def reconciliation(spark: SparkSession, sf: str) -> DataFrame:
     rows, errors = d.raw_rows(spark, sf), d.raw_errors(spark, sf)
-    normalized = _normalized(spark, sf)
+    normalized = _stored_normalized(spark, sf)
     return normalize.reconcile(
         rows, errors, normalize.accepted(normalized), normalize.rejected(normalized, errors),
         d.sheet_columns(spark, sf),
@@ -281,7 +286,7 @@ def build_files(spark: SparkSession, sf: str) -> DataFrame:
 
 def build_captures(spark: SparkSession, sf: str) -> DataFrame:
     errors = d.raw_errors(spark, sf)
-    normalized = _normalized(spark, sf)
+    normalized = _stored_normalized(spark, sf)
     keys = (
         d.objects(spark, sf).select("key")
         .unionByName(errors.select("key").distinct())
@@ -417,9 +422,12 @@ class Core:
 
     @property
     def deposits(self) -> DataFrame:
+        return self.deposits_of(None)
+
+    def deposits_of(self, parties: DataFrame | None) -> DataFrame:
         return search.party_deposits(
             self.claim_parties, self.claims, self.observations, self.captures, self.files,
-            self.court_names,
+            self.court_names, parties,
         )
 
 
@@ -500,10 +508,12 @@ def party_currency(spark: SparkSession, sf: str) -> DataFrame:
 
 def party_search(spark: SparkSession, sf: str) -> DataFrame:
     core = _core(spark, sf)
+    requests, parties = d.search_requests(spark, sf), _stored_parties(spark, sf)
+    matched = search.find_party(requests, parties).filter("party_id IS NOT NULL")
     return search.search_parties(
-        d.search_requests(spark, sf),
-        _stored_parties(spark, sf),
-        core.deposits,
+        requests,
+        parties,
+        core.deposits_of(matched.select("party_id")),
         d.enrichment_history(spark, sf),
         core.files,
         d.claim_windows(spark, sf),
@@ -518,9 +528,7 @@ def party_search(spark: SparkSession, sf: str) -> DataFrame:
 
 def raw_to_party_summary(spark: SparkSession, sf: str) -> DataFrame:
     """From sheet cells to party totals: all steps computed, the accepted rows stored between."""
-    staging = staged(
-        spark, "accepted", sf, lambda: normalize.accepted(_normalized(spark, sf))
-    )
+    staging = normalize.accepted(_stored_normalized(spark, sf))
     files = lineage.build_files(d.objects(spark, sf))
     captures = files.select(F.col("file_id").alias("capture_id"), "file_id")
     deposits = search.party_deposits(

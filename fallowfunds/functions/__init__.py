@@ -22,7 +22,9 @@ from fallowfunds.functions.parsing import (
     id_from_cell,
     parse_currency,
     parse_date,
+    period_code,
     period_from_key,
+    period_of_code,
     python_repr,
     stringify_cell,
     strip,
@@ -50,7 +52,9 @@ __all__ = [
     "normalize_id",
     "parse_currency",
     "parse_date",
+    "period_code",
     "period_from_key",
+    "period_of_code",
     "python_repr",
     "search_candidates",
     "stringify_cell",

@@ -50,6 +50,23 @@ def period_from_key(key: Column, on_missing: str = "raise") -> Column:
     return F.when(key.isNull(), F.lit(None)).otherwise(F.coalesce(period, failure))
 
 
+def period_code(period: Column) -> Column:
+    """A ``yyyy-s`` period as the integer yyyys, which orders alike.
+
+    Minimum and maximum of an integer aggregate in a hash table; of a text they need a sort.
+    """
+    shaped = (F.length(period) == 6) & (F.substring(period, 5, 1) == "-")
+    failure = F.raise_error(F.concat(F.lit("not a period: "), period)).cast("int")
+    code = F.translate(period, "-", "").cast("int")
+    return F.when(shaped, code).when(period.isNotNull(), failure)
+
+
+def period_of_code(code: Column) -> Column:
+    """Inverse of :func:`period_code`."""
+    text = code.cast("string")
+    return F.concat(F.left(text, F.lit(4)), F.lit("-"), F.right(text, F.lit(1)))
+
+
 def clean_currency(text: Column) -> Column:
     """First half of :func:`parse_currency`: drop the sign and spaces, mend handwritten cents.
 

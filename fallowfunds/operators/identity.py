@@ -10,6 +10,7 @@ from fallowfunds.functions.identifiers import (
     canonical_document_number,
     hash_id,
 )
+from fallowfunds.functions.parsing import period_code, period_of_code
 from fallowfunds.functions.registry import LEGAL_ENTITY, NATURAL_PERSON
 from fallowfunds.operators.combine import one_row
 
@@ -143,12 +144,14 @@ def build_court_names(staging: DataFrame) -> DataFrame:
     """Every name an account was published under, with the periods it spans."""
     return (
         with_court_account(
-            staging.filter("court_name IS NOT NULL"), F.col("court_name").alias("name"), "period"
+            staging.filter("court_name IS NOT NULL"),
+            F.col("court_name").alias("name"),
+            period_code(F.col("period")).alias("code"),
         )
         .groupBy("court_account", "name")
         .agg(
-            F.min("period").alias("first_period"),
-            F.max("period").alias("last_period"),
+            period_of_code(F.min("code")).alias("first_period"),
+            period_of_code(F.max("code")).alias("last_period"),
             F.count(F.lit(1)).alias("row_count"),
         )
         .select(
