@@ -218,3 +218,10 @@ def test_display(spark):
 def test_python_repr(spark):
     values = ["abc", "it's", 'say "hi"', "it's \"x\"", "a\\b"]
     assert column_of(spark, values, fn.python_repr) == [repr(v) for v in values]
+
+
+def test_period_code(spark):
+    periods = ["2017-1", "2026-2", None]
+    assert column_of(spark, periods, lambda c: fn.period_of_code(fn.period_code(c))) == periods
+    with pytest.raises(Exception, match="not a period"):
+        column_of(spark, ["2017-10"], fn.period_code)

@@ -198,7 +198,7 @@ def test_header_below_titles_and_ties(spark):
 
 
 def test_duplicate_and_blank_headers(spark):
-    rows = sheet_rows(spark, KEY, "A", [["a", "a_1", "a", None, "a"], ["1", "2", "3", "4", "5", "6"]])
+    rows = sheet_rows(spark, KEY, "A", [["a", "a_1", "a", None, "a"], ["1", "2", None, None, None, "6"]])
     names = sheets.sheet_columns(rows).first()["names"]
     assert names[:2] == ["a", "a_1"] and len(set(names)) == 6
     assert names[3] == "__UNNAMED__3" and names[5] == "__UNNAMED__5"
@@ -206,12 +206,15 @@ def test_duplicate_and_blank_headers(spark):
 
 def test_long_form_cells_give_the_same_rows(spark):
     cells = spark.createDataFrame(
-        [(KEY, "A", 0, 0, "text", "h"), (KEY, "A", 1, 0, "text", "x"), (KEY, "A", 1, 2, "number", "3")],
+        [
+            (KEY, "A", 0, 0, "text", "h"), (KEY, "A", 0, 1, "text", "h2"),
+            (KEY, "A", 1, 0, "text", "x"), (KEY, "A", 1, 2, "number", "3"),
+        ],
         "key string, sheet string, row_idx bigint, col_idx int, kind string, text string",
     )
     rows = {r["row_idx"]: r["cells"] for r in sheets.rows_from_cells(cells).collect()}
     assert rows[1][0]["text"] == "x" and rows[1][1] is None and rows[1][2]["text"] == "3"
     named = sheets.assemble_rows(sheets.rows_from_cells(cells)).first()["cells"]
     assert {k: v["text"] for k, v in named.items()} == {
-        "h": "x", "__UNNAMED__1": None, "__UNNAMED__2": "3",
+        "h": "x", "h2": None, "__UNNAMED__2": "3",
     }
