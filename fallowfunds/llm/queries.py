@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fallowfunds.llm import chat_format, line_dedup, token_files
+from fallowfunds.llm import chat_format, decontamination, line_dedup, source_mixing, token_files
 from fallowfunds.llm.common import table
 from fallowfunds.sources.scratch import scratch_dir
 
@@ -29,6 +29,15 @@ def op1_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat_format.digests(formatted)
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = decontamination.contamination(docs, table(spark, sf, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
 def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = line_dedup.drop_shared_lines(table(spark, sf, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -45,10 +54,18 @@ def op8_token_ids(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.checksums(token_files.with_starts(token_files.read(spark, path)))
 
 
+def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "source", "text")
+    mixed = source_mixing.mix(docs)
+    return mixed.select("doc_id", "source", "epoch", "n_tokens", "weight", "block", "order_key")
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_line_dedup": op7_line_dedup,
     "op8_token_ids": op8_token_ids,
+    "op9_source_mixing": op9_source_mixing,
 }
 
 _ESCAPED = r"replace(replace(replace(replace({}, '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#'), '##', '#\#')"
@@ -79,5 +96,66 @@ shared AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING coun
 SELECT doc_id, count(*) AS n_lines, count(s.key) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (s.key IS NULL), '')) AS kept_sha256
 FROM keyed LEFT JOIN shared s ON keyed.key = s.key GROUP BY doc_id
+""",
+    "op5_benchmark_decontamination": r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark),
+sized AS (SELECT item, w, least(len(w), 10) AS m FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item, m, array_to_string(w[s:s + m - 1], ' ') AS win
+  FROM (SELECT item, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM sized)),
+lengths AS (SELECT DISTINCT m FROM windows),
+places AS (SELECT doc_id, m, s, array_to_string(w[s:s + m - 1], ' ') AS win
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM d, lengths WHERE len(w) >= m)),
+found AS (SELECT doc_id, s, p.m AS m, item FROM places p JOIN windows b ON p.m = b.m AND p.win = b.win),
+hit AS (SELECT doc_id, count(DISTINCT place) AS n FROM (SELECT doc_id, unnest(range(s, s + m)) AS place FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS list
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(items.n, 0) AS n_items,
+  sha256(coalesce(list, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN items ON d.doc_id = items.doc_id
+""",
+    # The smallest exponent on the grid at which the least of the sources is read twice at most; the
+    # rest follows from it. Sums of whole numbers and rounded budgets, so engines agree.
+    "op9_source_mixing": r"""
+WITH docs AS (
+  SELECT doc_id, source, coalesce(source, '') AS src, coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+    len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+')) AS n FROM documents),
+sizes AS (SELECT src, CAST(sum(n) AS BIGINT) AS tokens, CAST(ceil(sqrt(count(*))) AS BIGINT) AS blocks FROM docs GROUP BY src),
+span AS (SELECT max(tokens) AS most, min(tokens) AS least, sum(tokens) AS total FROM sizes WHERE tokens > 0),
+grid AS (SELECT CASE WHEN ln(most / least) <= ln(2.0) THEN 0.0
+    ELSE ceil((1 - ln(2.0) / ln(most / least)) * 1048576) / 1048576 END AS a FROM span),
+norm AS (SELECT sum(pow(tokens / total, a)) AS z FROM sizes, span, grid WHERE tokens > 0),
+budgets AS (
+  SELECT src, blocks, tokens, CASE WHEN tokens > 0 THEN pow(tokens / total, a) / z ELSE 0 END AS weight,
+    CAST(round(tokens * pow(tokens / most, a - 1)) AS BIGINT) AS given FROM sizes, span, grid, norm),
+plans AS (
+  SELECT *, CASE WHEN tokens > 0 THEN given // tokens ELSE 1 END AS passes,
+    CASE WHEN tokens > 0 THEN given % tokens ELSE 0 END AS rest FROM budgets),
+placed AS (
+  SELECT d.*, p.weight, p.passes, p.rest, p.tokens,
+    CAST('0x' || substr(md5('7:block:' || id), 1, 8) AS BIGINT) % p.blocks AS block FROM docs d JOIN plans p ON d.src = p.src),
+ends AS (
+  SELECT *, sum(n) OVER (PARTITION BY src ORDER BY md5('7:order:' || passes || ':' || src || ':' || block), block) AS upto
+  FROM (SELECT src, block, passes, rest, tokens, CAST(sum(n) AS BIGINT) AS n FROM placed GROUP BY ALL)),
+last AS (
+  SELECT src, block AS at_block, md5('7:order:' || passes || ':' || src || ':' || block) AS at_order, rest - (upto - n) AS left_over
+  FROM ends WHERE tokens > 0 AND upto > rest AND upto - n <= rest),
+inside AS (
+  SELECT p.src, md5('7:doc:' || passes || ':' || id) AS key, left_over,
+    sum(p.n) OVER (PARTITION BY p.src ORDER BY md5('7:doc:' || passes || ':' || id)) AS upto
+  FROM placed p JOIN last l ON p.src = l.src AND p.block = l.at_block),
+cut AS (SELECT src, max(key) AS at_key FROM inside WHERE upto <= left_over GROUP BY src),
+copies AS (
+  SELECT p.*, passes + CASE WHEN coalesce(
+      (md5('7:order:' || passes || ':' || p.src || ':' || block), block) < (at_order, at_block)
+      OR (block = at_block AND md5('7:doc:' || passes || ':' || id) <= at_key), FALSE) THEN 1 ELSE 0 END AS n_copies
+  FROM placed p LEFT JOIN last l ON p.src = l.src LEFT JOIN cut c ON p.src = c.src)
+SELECT doc_id, source, CAST(epoch AS INTEGER) AS epoch, n AS n_tokens, round(weight, 9) AS weight, block,
+  md5('7:order:' || epoch || ':' || src || ':' || block) || md5('7:doc:' || epoch || ':' || id) AS order_key
+FROM (SELECT *, unnest(range(n_copies)) AS epoch FROM copies)
 """,
 }

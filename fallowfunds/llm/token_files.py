@@ -19,7 +19,8 @@ from fallowfunds.llm.flat import Hasher, chunks
 FILE_SCHEMA = "doc_id long, shard int, local_start long, n_tokens long, ids array<int>"
 BLOOM_FALSE_POSITIVES = 0.01
 ROWS_PER_INDEX = 1000  # rows between two entries of a stripe's row index
-CACHED = 3_000_000  # pieces a worker remembers before it starts anew
+CACHED = 1_500_000  # pieces a worker remembers before it starts anew
+AT_ONCE = 20_000  # pieces given to the tokenizer in one call
 
 # Classes of bytes for cutting a text where the tokenizer's pattern cuts it in any case.
 OTHER, BLANK, BREAK, LETTER, MARK, QUOTE = range(6)
@@ -87,13 +88,17 @@ class PieceEncoder:
         self.size = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.int32)
 
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        size = np.fromiter(map(len, found), np.int64, len(found))
+    def _learn(self, keys: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray) -> None:
+        sizes, flats = [], []
+        for i in range(0, len(keys), AT_ONCE):  # an encoding takes far more memory than its ids
+            pieces = [raw[a:b].decode() for a, b in zip(start[i : i + AT_ONCE], end[i : i + AT_ONCE], strict=True)]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            flats.append(np.fromiter((i for ids in found for i in ids), np.int32, int(sizes[-1].sum())))
+        size = np.concatenate(sizes)
         first = len(self.pool) + np.cumsum(size) - size
-        flat = np.fromiter((i for ids in found for i in ids), np.int32, int(size.sum()))
         slot = np.arange(len(self.first), len(self.first) + len(keys))
-        self.pool = np.concatenate([self.pool, flat])
+        self.pool = np.concatenate([self.pool, *flats])
         self.first, self.size = np.concatenate([self.first, first]), np.concatenate([self.size, size])
         at = np.searchsorted(self.keys, keys)
         self.keys, self.slot = np.insert(self.keys, at, keys), np.insert(self.slot, at, slot)
@@ -112,29 +117,28 @@ class PieceEncoder:
         if len(self.keys):
             new = self.keys[np.minimum(at, len(self.keys) - 1)] != keys
         if new.any():
-            raw = data.tobytes()
-            spans = zip(start[where[new]].tolist(), end[where[new]].tolist(), strict=True)
-            self._learn(keys[new], [raw[a:b].decode() for a, b in spans])
+            self._learn(keys[new], data.tobytes(), start[where[new]], end[where[new]])
         slot = self.slot[np.searchsorted(self.keys, keys)][which]
         size, first = self.size[slot], self.first[slot]
         total = np.concatenate([[0], np.cumsum(size)])
         take = np.arange(total[-1]) + np.repeat(first - total[:-1], size)
         return self.pool[take], total[np.searchsorted(start, offsets)]
 
-    def rows(self, column: pa.Array):
-        """The ids of each row."""
+    def stretches(self, column: pa.Array, end_id: int):
+        """(first row, last row, ids, sizes) of stretches of rows; each row ends with ``end_id``."""
         for first, last, data, offsets in chunks(column):
-            raw = data.tobytes()
-            whole_rows = {
-                i for i in range(last - first) if any(s in raw[offsets[i] : offsets[i + 1]] for s in self.special)
-            } if any(s in raw for s in self.special) else ()
             ids, at = self.encode(data, offsets)
-            for i in range(last - first):
-                if i in whole_rows:
-                    text = raw[offsets[i] : offsets[i + 1]].decode()
-                    yield np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
-                else:
-                    yield ids[at[i] : at[i + 1]]
+            raw = data.tobytes()
+            if any(s in raw for s in self.special):
+                rows = []
+                for i in range(last - first):
+                    text = raw[offsets[i] : offsets[i + 1]]
+                    row = ids[at[i] : at[i + 1]]
+                    if any(s in text for s in self.special):
+                        row = np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.int32)
+                    rows.append(row)
+                ids, at = np.concatenate(rows), np.cumsum([0, *map(len, rows)])
+            yield first, last, np.insert(ids, at[1:], np.int32(end_id)), np.diff(at) + 1
 
 
 _ENCODERS: dict[str, PieceEncoder] = {}
@@ -158,15 +162,15 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text") ->
         shard, before = TaskContext.get().partitionId(), 0
         tok = encoder(tokenizer)
         for batch in batches:
-            rows = [np.append(ids, np.int32(end_id)) for ids in tok.rows(batch.column(1))]
-            size = np.fromiter(map(len, rows), np.int64, len(rows))
-            ends = np.cumsum(size)
-            ids = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(np.concatenate([*rows, np.zeros(0, np.int32)]))
-            )
-            columns = [batch.column(0), pa.array(np.full(len(rows), shard, np.int32)), pa.array(before + ends - size), pa.array(size), ids]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "shard", "local_start", "n_tokens", "ids"])
-            before += int(size.sum())
+            for first, last, ids, size in tok.stretches(batch.column(1), end_id):
+                ends = np.cumsum(size)
+                lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(ids))
+                columns = [
+                    batch.column(0).slice(first, last - first), pa.array(np.full(len(size), shard, np.int32)),
+                    pa.array(before + ends - size), pa.array(size), lists,
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "shard", "local_start", "n_tokens", "ids"])
+                before += int(ends[-1])
 
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole(text).alias("text"))
