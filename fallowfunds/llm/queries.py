@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fallowfunds.llm import chat_format, decontamination, line_dedup, source_mixing, token_files
+from fallowfunds.llm import chat_format, decontamination, fingerprints, line_dedup, source_mixing, token_files
 from fallowfunds.llm.common import table
 from fallowfunds.sources.scratch import scratch_dir
 
@@ -38,6 +38,10 @@ def op5_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op6_document_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return fingerprints.compare_edits(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op7_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     found = line_dedup.drop_shared_lines(table(spark, sf, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -63,6 +67,7 @@ def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_document_fingerprints": op6_document_fingerprints,
     "op7_line_dedup": op7_line_dedup,
     "op8_token_ids": op8_token_ids,
     "op9_source_mixing": op9_source_mixing,
