@@ -8,7 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fallowfunds.llm import chat_format, decontamination, fingerprints, line_dedup, source_mixing, token_files
+from fallowfunds.llm import (
+    chat_format,
+    decontamination,
+    fingerprints,
+    line_dedup,
+    quality,
+    source_mixing,
+    token_files,
+    toxicity,
+)
 from fallowfunds.llm.common import table
 from fallowfunds.sources.scratch import scratch_dir
 
@@ -29,6 +38,18 @@ def op1_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat_format.digests(formatted)
 
 
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    labels = table(spark, sf, "labels").select("doc_id", "toxic")
+    return toxicity.classify(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
+def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    return quality.classify(docs, labels).select("doc_id", "held_out", "score", "predicted")
+
+
 def op5_benchmark_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     found = decontamination.contamination(docs, table(spark, sf, "benchmark"))
@@ -66,6 +87,8 @@ def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op3_toxicity": op3_toxicity,
+    "op4_quality": op4_quality,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op6_document_fingerprints": op6_document_fingerprints,
     "op7_line_dedup": op7_line_dedup,
