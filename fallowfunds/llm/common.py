@@ -19,6 +19,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Rows go to Python in batches of whole texts; this many keep a worker in tens of megabytes."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """The frame written to the shared folder and read back: later steps do not recompute it.
 

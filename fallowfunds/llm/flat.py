@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
-CHUNK = 1 << 21  # bytes of text worked on at once, unless one text alone is longer
+CHUNK = 1 << 20  # bytes of text worked on at once, unless one text alone is longer
 
 
 def mix(values: np.ndarray) -> np.ndarray:

@@ -18,7 +18,7 @@ from fallowfunds.llm import (
     token_files,
     toxicity,
 )
-from fallowfunds.llm.common import table
+from fallowfunds.llm.common import small_batches, table
 from fallowfunds.sources.scratch import scratch_dir
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -27,6 +27,7 @@ SAID = "\\### Assistant: </turn> ok"
 
 
 def op1_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(
         F.lit(-7).cast("long").alias("conv_id"),
@@ -39,12 +40,14 @@ def op1_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, sf, "documents").select("doc_id", "text")
     labels = table(spark, sf, "labels").select("doc_id", "toxic")
     return toxicity.classify(docs, labels).select("doc_id", "held_out", "score", "predicted")
 
 
 def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
     docs = table(spark, sf, "documents").select("doc_id", "text")
     labels = table(spark, sf, "labels").select("doc_id", "quality")
     return quality.classify(docs, labels).select("doc_id", "held_out", "score", "predicted")
@@ -73,6 +76,7 @@ def token_folder(spark: SparkSession) -> str:
 
 
 def op8_token_ids(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
     path = token_folder(spark)
     docs = table(spark, sf, "documents")
     token_files.write(token_files.encode(docs, public_tokenizers.path(TOKENIZER), END_ID), path)

@@ -19,7 +19,7 @@ from fallowfunds.llm.flat import Hasher, chunks
 FILE_SCHEMA = "doc_id long, shard int, local_start long, n_tokens long, ids array<int>"
 BLOOM_FALSE_POSITIVES = 0.01
 ROWS_PER_INDEX = 1000  # rows between two entries of a stripe's row index
-CACHED = 1_500_000  # pieces a worker remembers before it starts anew
+CACHED = 800_000  # pieces a worker remembers before it starts anew
 AT_ONCE = 20_000  # pieces given to the tokenizer in one call
 
 # Classes of bytes for cutting a text where the tokenizer's pattern cuts it in any case.
@@ -198,11 +198,12 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
 
 def with_starts(tokens: DataFrame) -> DataFrame:
-    """``start``: tokens of all rows before. Sums a row for each shard; tokens are not moved."""
+    """``start``: tokens of all rows before. Tokens are not moved: the sums that every task gets are
+    one row for each shard, so no more than the job that wrote the files had tasks."""
     totals = tokens.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
     order = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("shard", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base"))
-    return tokens.join(bases, "shard").withColumn("start", F.col("base") + F.col("local_start"))
+    return tokens.join(F.broadcast(bases), "shard").withColumn("start", F.col("base") + F.col("local_start"))
 
 
 def checksums(tokens: DataFrame) -> DataFrame:
