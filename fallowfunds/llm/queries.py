@@ -13,6 +13,7 @@ from fallowfunds.llm import (
     decontamination,
     fingerprints,
     line_dedup,
+    near_dedup,
     quality,
     source_mixing,
     token_files,
@@ -23,6 +24,7 @@ from fallowfunds.sources.scratch import scratch_dir
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
+LINK_PERCENT = 85
 SAID = "\\### Assistant: </turn> ok"
 
 
@@ -39,6 +41,12 @@ def op1_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat_format.digests(formatted)
 
 
+def op2_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
+    found = near_dedup.near_duplicates(table(spark, sf, "documents").select("doc_id", "text"), LINK_PERCENT)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     small_batches(spark)
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -91,6 +99,7 @@ def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_near_dedup": op2_near_dedup,
     "op3_toxicity": op3_toxicity,
     "op4_quality": op4_quality,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
