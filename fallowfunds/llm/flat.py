@@ -56,6 +56,8 @@ class Hasher:
 
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a text or binary column; NULL counts as empty."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks)
     if column.null_count:
         column = column.fill_null("" if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else b"")
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)

@@ -15,6 +15,7 @@ from fallowfunds.llm import (
     line_dedup,
     near_dedup,
     quality,
+    repeat_dedup,
     source_mixing,
     token_files,
     toxicity,
@@ -97,6 +98,12 @@ def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", "source", "epoch", "n_tokens", "weight", "block", "order_key")
 
 
+def op10_repeat_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
+    found = repeat_dedup.remove_repeats(table(spark, sf, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_near_dedup": op2_near_dedup,
@@ -107,6 +114,7 @@ QUERIES = {
     "op7_line_dedup": op7_line_dedup,
     "op8_token_ids": op8_token_ids,
     "op9_source_mixing": op9_source_mixing,
+    "op10_repeat_dedup": op10_repeat_dedup,
 }
 
 _ESCAPED = r"replace(replace(replace(replace({}, '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#'), '##', '#\#')"
