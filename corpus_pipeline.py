@@ -1,11 +1,75 @@
-"""The training-data pipeline: stages over documents."""
+"""The training-data pipeline: from ``documents`` to files of token ids.
 
+Each stage takes the documents its predecessor kept. All but the last return the columns of
+``documents``; the last writes the token files and returns what it reads back from them.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from fallowfunds.llm import (
+    decontamination,
+    near_dedup,
+    quality,
+    queries,
+    source_mixing,
+    token_files,
+)
+from fallowfunds.llm.common import small_batches, stored, table
+
+# Neither a trained classifier nor sketches nor a tokenizer can be put in SQL; tests hold each stage
+# against a brute-force version.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not reject."""
+    small_batches(spark)
+    judged = quality.classify(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return judged.filter("predicted = 1").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the one with the smallest id, of each group of near duplicates."""
+    small_batches(spark)
+    return near_dedup.near_duplicates(docs).filter("kept").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.filter("NOT contaminated").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document once, those of small sources up to about twice."""
+    return source_mixing.mix(docs).select(*docs.columns)
+
+
+def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32) of the written files, a row for each document read."""
+    small_batches(spark)
+    path = queries.token_folder(spark)
+    token_files.write(token_files.encode(docs, public_tokenizers.path(queries.TOKENIZER), queries.END_ID), path)
+    return token_files.checksums(token_files.with_starts(token_files.read(spark, path)))
+
+
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("near-dedup", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("source mixing", mix_sources),
+    ("token files", write_tokens),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each stage's documents are stored for the next."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if stage is not write_tokens:
+            docs = stored(docs, name.replace(" ", "-"))
     return docs
