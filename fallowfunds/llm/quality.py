@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fallowfunds.llm.common import held_out, passed, whole
+from fallowfunds.llm.common import held_out, passed, stored, whole
 from fallowfunds.llm.flat import Hasher, chunks, mix, words
 
 PASSAGE = 32  # words
@@ -133,8 +133,8 @@ def fit(x: np.ndarray, bags: np.ndarray, y: np.ndarray, seed: int = 11) -> dict:
     return m
 
 
-def learn(labelled: DataFrame, sample: int = SAMPLE) -> dict | None:
-    """A model from ``labelled`` (key, text, good): whole texts of a bounded sample of rows."""
+def learn(labelled: DataFrame) -> dict | None:
+    """A model from ``labelled`` (text, good), a bounded sample: its passages' features come to the driver."""
 
     def run(batches):
         for batch in batches:
@@ -150,8 +150,8 @@ def learn(labelled: DataFrame, sample: int = SAMPLE) -> dict | None:
                     ["x", "good"],
                 )
 
-    taken = labelled.orderBy(F.xxhash64("key"), "key").limit(sample).select("text", "good")
-    rows = taken.mapInArrow(run, "x binary, good boolean").collect()
+    found = labelled.select("text", "good").mapInArrow(run, "x binary, good boolean")
+    rows = found.collect()  # bounded by the sample; in the order of the scan, so a fit can be repeated
     y = np.array([r.good for r in rows], np.float32)
     if not len(y) or y.min() == y.max():
         return None
@@ -200,10 +200,10 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample:
     """
     known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").alias("key"), (F.col("quality") == 1).alias("good"))
     known = known.filter(~held_out("key")).groupBy("key").agg(F.min("good").alias("good"))
-    # The sample is drawn on ids alone, before any text is moved.
-    known = known.orderBy(F.xxhash64("key"), "key").limit(sample)
+    # The sample is drawn on ids alone; so few can be sent to every task, and texts are not moved.
+    known = F.broadcast(stored(known.orderBy(F.xxhash64("key"), "key").limit(sample), "quality-labels"))
     taught = docs.select("doc_id", whole("text").alias("text")).join(known, F.col("doc_id") == F.col("key"))
-    found = score(docs.select(*passed(docs, "held_out", "score", "predicted", "n_passages", "attention")), learn(taught, sample))
+    found = score(docs.select(*passed(docs, "held_out", "score", "predicted", "n_passages", "attention")), learn(taught))
     return found.select(
         *passed(docs, "held_out", "score", "predicted", "n_passages", "attention"),
         held_out("doc_id").alias("held_out"),

@@ -23,6 +23,7 @@ PRIOR = 500.0  # pseudo-documents the prior is worth
 LEAST_Z, LEAST_DOCS = 5.0, 4  # evidence a unit needs
 CAUTION = 2.0  # standard deviations taken off a unit's log-odds
 UNITS = 50_000  # units a model holds at most: the strongest
+SAMPLE = 200_000  # labelled rows a model learns from at most
 COST = 0.1  # of a word without evidence, in nats
 PREFIXES = (6, 5, 4)  # bytes; tried in this order after the whole word
 
@@ -214,29 +215,31 @@ def calibrate(scored: DataFrame, model: Model) -> Model:
     return Model(model.keys, model.odds, model.decay, scale, float(w[0]), float(max(w[1], 0.0)))
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample: int = SAMPLE) -> DataFrame:
     """``docs`` with ``held_out``, ``score``, ``predicted``, ``n_words`` and ``found`` (toxic passages).
 
-    ``docs`` has doc_id and text, ``labels`` doc_id and toxic; rows of labels without either are left out. All labelled rows
-    that are not held out teach the model; there is no sample. NULL and empty texts are scored as
-    texts without words. Without labels of both kinds every score is 0.5.
+    ``docs`` has doc_id and text, ``labels`` doc_id and toxic; rows of labels without either are left
+    out. Labelled rows that are not held out teach the model, ``sample`` of them at most, by the order
+    of a hash; so many ids can be sent to every task and texts need not be moved to meet them. NULL
+    and empty texts are scored as texts without words. Without labels of both kinds every score is 0.5.
     """
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").select(
         F.col("doc_id").alias("__id"), (F.col("toxic") == 1).alias("toxic")
     ).filter(~held_out("__id"))
     # A label given twice teaches once; if labels differ, toxic wins.
     known = known.groupBy("__id").agg(F.max("toxic").alias("toxic"))
+    known = F.broadcast(stored(known.orderBy(F.xxhash64("__id"), "__id").limit(sample), "toxic-labels"))
     taught = docs.select("doc_id", whole("text").alias("text")).join(known, F.col("doc_id") == F.col("__id"))
     model = learn(taught.select("text", "toxic"))
-    scored = stored(passages(docs.select(*passed(docs, "n_words", "best", "found")), model), "toxic-passages")
-    judged = scored.select("doc_id", "n_words", "best").join(known, F.col("doc_id") == F.col("__id"))
+    judged = stored(passages(taught.select("toxic", "text"), model).select("toxic", "n_words", "best"), "toxic-judged")
     if len(model.keys):
         model = calibrate(judged, model)
         score = 1 / (1 + F.exp(-(F.lit(model.offset) + F.lit(model.slope) * evidence(model))))
     else:
         score = F.lit(0.5)
-    return scored.select(
-        *passed(docs, "held_out", "score", "predicted", "n_words", "found", "best"),
+    new = ("held_out", "score", "predicted", "n_words", "found", "best")
+    return passages(docs.select(*passed(docs, *new)), model).select(
+        *passed(docs, *new),
         held_out("doc_id").alias("held_out"),
         score.alias("score"),
         (score >= threshold).cast("int").alias("predicted"),
