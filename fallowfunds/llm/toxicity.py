@@ -1,6 +1,6 @@
 """Toxicity by maximum-scoring segments of token log-odds, judged by extreme-value statistics.
 
-Log-odds of each unit (a word, or its first 4 to 6 bytes, for inflected words) between toxic and other documents are
+Log-odds of each unit (a word, or its first 4 to 8 bytes, for inflected words) between toxic and other documents are
 shrunk by a Dirichlet prior in proportion to the unit's overall frequency. Words without evidence
 cost a little, so a text's maximal segments are its toxic passages. The best one is weighed against
 the best that chance gives in a text of that length (a Gumbel law), and that is fitted to labels.
@@ -20,12 +20,13 @@ from fallowfunds.llm.common import held_out, passed, stored, whole
 from fallowfunds.llm.flat import Hasher, chunks, mix, runs
 
 PRIOR = 500.0  # pseudo-documents the prior is worth
-LEAST_Z, LEAST_DOCS = 5.0, 4  # evidence a unit needs
-CAUTION = 2.0  # standard deviations taken off a unit's log-odds
+LEAST_Z, LEAST_DOCS = 4.0, 4  # evidence a unit needs
+LEAST_ODDS = 1.0  # what such a unit adds at least; weaker ones would add up to noise
+CAUTION = 1.0  # standard deviations taken off a unit's log-odds
 UNITS = 50_000  # units a model holds at most: the strongest
 SAMPLE = 200_000  # labelled rows a model learns from at most
 COST = 0.1  # of a word without evidence, in nats
-PREFIXES = (6, 5, 4)  # bytes; tried in this order after the whole word
+PREFIXES = (4, 5, 6, 7, 8)  # bytes
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -44,7 +45,7 @@ class Model:
 
 
 def _units(data: np.ndarray, offsets: np.ndarray):
-    """(row of each word, [hash of the whole word, of its first 6, 5, 4 bytes])."""
+    """(row of each word, [hash of the whole word, of its first 4 to 8 bytes])."""
     start, end, row = runs(_WORD[data], offsets)
     hashed = Hasher(data, lower=True)
     units = [hashed(start, end)]
@@ -90,7 +91,8 @@ def learn(labelled: DataFrame) -> Model:
         return none
     prior = F.lit(PRIOR / (n1 + n0)) * (F.col("toxic") + F.col("other"))
     bad, good = F.col("toxic") + prior * F.lit(n1 / (n1 + n0)), F.col("other") + prior * F.lit(n0 / (n1 + n0))
-    odds = F.log(bad / (F.lit(n1 + PRIOR) - bad)) - F.log(good / (F.lit(n0 + PRIOR) - good))
+    all_bad, all_good = n1 * (1 + PRIOR / (n1 + n0)), n0 * (1 + PRIOR / (n1 + n0))
+    odds = F.log(bad / (F.lit(all_bad) - bad)) - F.log(good / (F.lit(all_good) - good))
     found = (
         unit_counts(labelled)
         .filter(F.col("toxic") >= LEAST_DOCS)
@@ -98,6 +100,7 @@ def learn(labelled: DataFrame) -> Model:
         .withColumn("z", F.col("mean") / F.col("deviation"))
         .filter(F.col("z") >= LEAST_Z)
         .withColumn("odds", F.col("mean") - CAUTION * F.col("deviation"))
+        .filter(F.col("odds") >= LEAST_ODDS)
         .orderBy(F.desc("z"), "unit")
         .limit(UNITS)
         .collect()
@@ -156,9 +159,9 @@ def passages(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 n_words.append(count)
                 value = np.zeros(len(row))
                 if len(keys):
-                    for unit in units[::-1]:  # the whole word last: it overrides its beginnings
+                    for unit in units:  # a word counts as its most telling unit
                         at = np.minimum(np.searchsorted(keys, unit), len(keys) - 1)
-                        value = np.where(keys[at] == unit, odds[at], value)
+                        np.maximum(value, np.where(keys[at] == unit, odds[at], 0.0), out=value)
                 hit = np.flatnonzero(value > 0)
                 again = mix(units[0][hit] ^ mix(row[hit].astype(np.uint64)))  # a word tells once in a text
                 hit = hit[np.sort(np.unique(again, return_index=True)[1])]
@@ -229,7 +232,13 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample:
     # A label given twice teaches once; if labels differ, toxic wins.
     known = known.groupBy("__id").agg(F.max("toxic").alias("toxic"))
     known = F.broadcast(stored(known.orderBy(F.xxhash64("__id"), "__id").limit(sample), "toxic-labels"))
-    taught = docs.select("doc_id", whole("text").alias("text")).join(known, F.col("doc_id") == F.col("__id"))
+    texts = docs.select("doc_id", whole("text").alias("text"))
+    # Copies of a text teach once, or the chance words of one that is copied often would tell.
+    single = texts.join(known, F.col("doc_id") == F.col("__id")).groupBy(F.xxhash64("text")).agg(
+        F.min("__id").alias("__id"), F.max("toxic").alias("toxic")
+    )
+    known = F.broadcast(stored(single.select("__id", "toxic"), "toxic-texts"))
+    taught = texts.join(known, F.col("doc_id") == F.col("__id"))
     model = learn(taught.select("text", "toxic"))
     judged = stored(passages(taught.select("toxic", "text"), model).select("toxic", "n_words", "best"), "toxic-judged")
     if len(model.keys):
