@@ -17,7 +17,6 @@ from fallowfunds.functions.identifiers import numeric_check_digit
 from fallowfunds.mappings import PINNED
 from fallowfunds.operators import sheets
 from fallowfunds.operators.normalize import CANONICAL_FIELDS
-from fallowfunds.session import spread
 from fallowfunds.sources.scratch import staged
 
 # Periods the shipping dates 1995..2001 become when moved 22 years on.
@@ -42,7 +41,7 @@ SHEET_RULE = """CASE
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def published(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,11 +187,12 @@ def enrichment_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registry answers: customers under 9-digit numbers (some only without the last digit),
-    suppliers under 8-digit ones."""
+    suppliers under 8-digit ones. Some answers and details of customers are broken."""
     columns = ["nit", "response", "detail", "error"]
     from_customers = table(spark, sf_dir, "customer").selectExpr(
         "if(c_custkey % 10 = 3, (900000000 + c_custkey) div 10, 900000000 + c_custkey) AS nit",
-        """CASE WHEN c_custkey % 23 = 0 THEN '{"registros":[]}' ELSE concat(
+        """CASE WHEN c_custkey % 29 = 7 THEN '<html>busy</html>'
+          WHEN c_custkey % 23 = 0 THEN concat('{"registros":[],"total":', c_custkey, '}') ELSE concat(
           '{"registros":[{"razon_social":"', c_name, '","estado_matricula":',
           CASE c_custkey % 4 WHEN 0 THEN '" activa "' WHEN 1 THEN '"CANCELADA"' WHEN 2 THEN '"ACTIVA"' ELSE 'null' END,
           CASE c_custkey % 5 WHEN 0 THEN ',"categoria":"Persona Natural"'
@@ -200,7 +200,8 @@ def registry(spark: SparkSession, sf_dir: str) -> DataFrame:
             WHEN 2 THEN ',"categoria":"ESTABLECIMIENTO DE COMERCIO"'
             WHEN 3 THEN ',"categoria":"persona juridica"' ELSE '' END,
           ',"id_rm":', c_custkey, '}', if(c_custkey % 6 = 0, ',{"razon_social":"second"}', ''), ']}') END AS response""",
-        """if(c_custkey % 2 = 0, concat('{"empleados":', c_nationkey, ',"ciiu":["a","b"]}'), NULL) AS detail""",
+        """CASE WHEN c_custkey % 31 = 11 THEN '{"empleados":'
+          WHEN c_custkey % 2 = 0 THEN concat('{"empleados":', c_nationkey, ',"ciiu":["a","b"]}') END AS detail""",
         "if(c_custkey % 17 = 5, concat('Timeout: read ', c_custkey), NULL) AS error",
     )
     from_suppliers = table(spark, sf_dir, "supplier").selectExpr(

@@ -7,13 +7,16 @@ cells are worked on in long form; newest rows are found by maximum and join.
 from __future__ import annotations
 
 from checks import driver_tables as d
-from fallowfunds.functions.identifiers import CHECK_DIGIT_WEIGHTS
 from fallowfunds.mappings import PINNED
 
 AS_OF = "DATE '1999-06-30'"
 RUN_AT = "TIMESTAMP '2026-01-15 12:00:00'"
 BATCH = 100
 
+# Weights of the check digit, from the last digit on; written here once more so that a
+# wrong one in the library shows.
+WEIGHTS = [3, 7, 13, 17, 19, 23, 29, 37, 41, 43, 47, 53, 59, 67, 71]
+
 
 def quoted(text: str | None) -> str:
     return "NULL" if text is None else "'" + text.replace("'", "''") + "'"
@@ -26,7 +29,7 @@ def sha(text: str) -> str:
 def check_digit(text: str) -> str:
     total = (
         f"list_sum([CAST(substr({text}, length({text}) + 1 - i, 1) AS BIGINT) * "
-        f"({list(CHECK_DIGIT_WEIGHTS)})[i] FOR i IN range(1, length({text}) + 1)])"
+        f"({WEIGHTS})[i] FOR i IN range(1, length({text}) + 1)])"
     )
     return f"CAST(([0,1,9,8,7,6,5,4,3,2,1])[1 + CAST({total} % 11 AS BIGINT)] AS VARCHAR)"
 
@@ -204,7 +207,7 @@ ALL_SEARCH = ",\n".join([STG, CLAIMS, BRIDGE, COURT_NAMES, LAST_PERIOD, DEPOSITS
 
 REGISTRY = """registry AS (
   SELECT CASE WHEN c % 10 = 3 THEN (900000000 + c) // 10 ELSE 900000000 + c END AS nit,
-    c % 23 <> 0 AS has_record, c_name AS company,
+    c % 23 <> 0 AND c % 29 <> 7 AS has_record, c % 29 = 7 AS broken, c_name AS company,
     CASE c % 4 WHEN 0 THEN true WHEN 2 THEN true ELSE false END AS is_active,
     CASE c % 5 WHEN 0 THEN 'Persona Natural' WHEN 1 THEN 'PERSONA JURÍDICA NACIONAL'
       WHEN 2 THEN 'ESTABLECIMIENTO DE COMERCIO' WHEN 3 THEN 'persona juridica' END AS category,
@@ -212,17 +215,21 @@ REGISTRY = """registry AS (
     CASE c % 4 WHEN 0 THEN '" activa "' WHEN 1 THEN '"CANCELADA"' WHEN 2 THEN '"ACTIVA"'
       ELSE 'null' END AS state_json,
     CASE WHEN c % 2 = 0 THEN c_nationkey END AS staff,
-    CASE WHEN c % 17 = 5 THEN 'Timeout: read ' || c END AS error
+    CASE WHEN c % 17 = 5 THEN 'Timeout: read ' || c
+      WHEN c % 29 = 7 THEN 'ValueError: the answer is no JSON object'
+      WHEN c % 31 = 11 AND c % 23 <> 0 THEN 'ValueError: the detail is no JSON' END AS error,
+    CASE WHEN c % 31 = 11 THEN '{"empleados":'
+      WHEN c % 2 = 0 THEN '{"empleados":' || c_nationkey || ',"ciiu":["a","b"]}' END AS detail
   FROM (SELECT c_custkey AS c, c_name, c_nationkey FROM customer)
   UNION ALL
-  SELECT 80000000 + s_suppkey, true, s_name, true, 'Persona Natural Comerciante', s_suppkey, '',
-    '"Activa"', NULL, NULL FROM supplier),
+  SELECT 80000000 + s_suppkey, true, false, s_name, true, 'Persona Natural Comerciante', s_suppkey, '',
+    '"Activa"', NULL, NULL, NULL FROM supplier),
 snapshot AS (
-  SELECT *, CASE WHEN NOT has_record THEN '{"registros":[]}' ELSE
+  SELECT *, CASE WHEN broken THEN '<html>busy</html>'
+    WHEN NOT has_record THEN '{"registros":[],"total":' || id_rm || '}' ELSE
     '{"registros":[{"razon_social":"' || company || '","estado_matricula":' || state_json ||
     CASE WHEN category IS NOT NULL THEN ',"categoria":"' || category || '"' ELSE '' END ||
     ',"id_rm":' || id_rm || '}' || more || ']}' END AS response,
-    CASE WHEN staff IS NOT NULL THEN '{"empleados":' || staff || ',"ciiu":["a","b"]}' END AS detail,
     '{' || CASE WHEN category IS NOT NULL THEN '"categoria":"' || category || '",' ELSE '' END ||
     '"id_rm":' || id_rm || CASE WHEN staff IS NOT NULL
       THEN ',"detail":{"ciiu":["a","b"],"empleados":' || staff || '}' ELSE '' END || '}'
@@ -235,12 +242,14 @@ LOOKUP = """tries AS (
     CAST(left(document_number, length(document_number) - 1) AS BIGINT), 1 FROM target
   WHERE length(document_number) IN (9, 10)),
 hits AS (
-  SELECT tries.party_id, tries.pos, r.* FROM tries JOIN snapshot r ON r.nit = tries.nit
-  WHERE r.error IS NOT NULL OR r.has_record),
+  SELECT tries.party_id, tries.pos, r.*, r.error IS NOT NULL OR r.has_record AS decided
+  FROM tries JOIN snapshot r ON r.nit = tries.nit),
+chosen AS (
+  SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY party_id
+    ORDER BY NOT decided, CASE WHEN decided THEN pos ELSE -pos END) = 1),
 answer AS (
-  SELECT t.party_id, t.document_number, h.* EXCLUDE (party_id) FROM target t
-  LEFT JOIN (SELECT * FROM hits WHERE (party_id, pos) IN
-    (SELECT (party_id, min(pos)) FROM hits GROUP BY party_id)) h ON h.party_id = t.party_id)"""
+  SELECT t.party_id, t.document_number, CASE WHEN decided THEN CAST(h.nit AS VARCHAR) END AS matched,
+    h.* EXCLUDE (party_id) FROM target t LEFT JOIN chosen h ON h.party_id = t.party_id)"""
 
 PENDING = """pending AS (
   SELECT party_id, document_number FROM party WHERE party_id NOT IN (
@@ -250,7 +259,7 @@ ATTEMPTS = f"""attempt AS (
   SELECT party_id, 'RUES' AS source, {RUN_AT} AS queried_at,
     CASE WHEN error IS NOT NULL THEN '{{"error":"' || error || '"}}'
       ELSE coalesce(response, '{{"registros":[]}}') END AS result,
-    CASE WHEN error IS NULL THEN company END AS name,
+    CASE WHEN error IS NULL AND has_record THEN company END AS name,
     CASE WHEN error IS NULL AND has_record THEN is_active END AS active,
     CASE WHEN error IS NULL AND has_record THEN attributes END AS attributes,
     CASE WHEN error IS NOT NULL THEN 'error' WHEN has_record THEN 'found' ELSE 'not_found' END
@@ -262,7 +271,7 @@ ATTEMPTS = f"""attempt AS (
     CASE WHEN error IS NULL AND has_record
       AND (category ILIKE '%jur_dica%' OR category ILIKE '%natural%') THEN 1.0::DOUBLE END
       AS document_type_confidence,
-    CASE WHEN error IS NOT NULL THEN NULL WHEN has_record IS NULL THEN 'rues_not_found'
+    CASE WHEN error IS NOT NULL THEN NULL WHEN has_record IS NOT TRUE THEN 'rues_not_found'
       WHEN category IS NULL THEN 'rues_categoria_missing'
       WHEN category ILIKE '%jur_dica%' OR category ILIKE '%natural%' THEN 'rues_categoria'
       ELSE 'rues_categoria_unrecognized' END AS document_type_rule_id
@@ -615,9 +624,9 @@ def build() -> dict[str, str]:
         "FROM pub",
         "normalize_id": f"WITH {PUB} SELECT {_ROW}, CASE WHEN p % 13 <> 0 THEN o || '' || n END "
         "AS text_id, CAST(58092000000 + o AS VARCHAR) AS number_id FROM pub",
-        "stringify_values": f"WITH {PUB} SELECT {_ROW}, CASE p % 3 WHEN 0 THEN "
-        "CAST(58092000000 + o AS VARCHAR) WHEN 1 THEN CAST(o AS VARCHAR) ELSE o || '.25' END "
-        "AS shown FROM pub",
+        "stringify_values": f"WITH {PUB} SELECT {_ROW}, CASE p % 4 WHEN 0 THEN "
+        "CAST(58092000000 + o AS VARCHAR) WHEN 1 THEN CAST(o AS VARCHAR) WHEN 2 THEN o || '.25' "
+        "ELSE '1' || lpad(CAST(o AS VARCHAR), 9, '0') || repeat('0', 31 + n) END AS shown FROM pub",
         "nit_check_digit": f"WITH {PUB} SELECT {_ROW}, "
         f"{check_digit('CAST(900000000 + p * 7919 + s AS VARCHAR)')} AS digit FROM pub",
         "canonical_document_number": f"WITH {STG} SELECT capture_id, sheet, source_row, "
@@ -641,9 +650,10 @@ def build() -> dict[str, str]:
             WHEN 6 THEN 'rues_categoria_missing' ELSE 'rues_categoria' END AS rule_id
           FROM customer""",
         "lookup_candidates": f"WITH {STG}, {PARTIES} "
-        "SELECT document_number, 0 AS pos, CAST(document_number AS BIGINT) AS nit FROM party "
-        "UNION ALL SELECT document_number, 1, CAST(left(document_number, "
-        "length(document_number) - 1) AS BIGINT) FROM party WHERE length(document_number) IN (9, 10)",
+        "SELECT document_number, 0 AS pos, CAST(CAST(document_number AS HUGEINT) AS VARCHAR) AS nit "
+        "FROM party UNION ALL SELECT document_number, 1, CAST(CAST(left(document_number, "
+        "length(document_number) - 1) AS HUGEINT) AS VARCHAR) FROM party "
+        "WHERE length(document_number) IN (9, 10)",
         "format_cop": f"WITH {PUB} SELECT {_ROW}, '$ ' || replace(format('{{:,}}', "
         "(cents - 5000000) * 37), ',', '.') AS shown FROM pub",
         "document_type_label": f"WITH {EVENTS} SELECT CASE coalesce(document_type, CASE WHEN "
@@ -654,11 +664,11 @@ def build() -> dict[str, str]:
     }
     sources = {
         "enrichment_union_by_name": f"WITH {EVENTS} SELECT party_id, source, queried_at, result, "
-        "CASE WHEN source <> 'OTHER' THEN name END AS name, "
-        "CASE WHEN source <> 'OTHER' THEN active END AS active, "
+        "CASE WHEN source <> 'OTHER' AND status IS NOT NULL THEN name END AS name, "
+        "CASE WHEN source <> 'OTHER' AND status IS NOT NULL THEN active END AS active, "
         "CASE WHEN source <> 'OTHER' THEN status END AS status, "
-        "CASE WHEN source <> 'OTHER' THEN document_type END AS document_type "
-        "FROM hist WHERE source = 'OTHER' OR status IS NOT NULL",
+        "CASE WHEN source <> 'OTHER' AND status <> 'error' THEN document_type END AS document_type "
+        "FROM hist",
         "contract_violations": f"WITH {EVENTS}, "
         "missing AS (SELECT count(*) AS n FROM hist WHERE status IS NULL) "
         "SELECT rule, CASE WHEN rule = 'status:not_null' THEN (SELECT n FROM missing) ELSE 0 END "
@@ -765,7 +775,7 @@ def build() -> dict[str, str]:
         "parties_to_enrich": f"WITH {STG}, {PARTIES}, {EVENTS}, {PENDING} SELECT party_id, "
         f"document_number FROM pending ORDER BY party_id LIMIT {BATCH}",
         "registry_lookup": f"WITH {STG}, {PARTIES}, {REGISTRY}, target AS (SELECT * FROM party), "
-        f"{LOOKUP} SELECT party_id, document_number, nit AS matched_nit, response, detail, error "
+        f"{LOOKUP} SELECT party_id, document_number, matched AS matched_nit, response, detail, error "
         "FROM answer",
         "enrichment_rows": f"WITH {ENRICH} SELECT * FROM attempt WHERE status <> 'error'",
         "enrichment_errors": f"WITH {ENRICH} SELECT * FROM attempt WHERE status = 'error'",

@@ -83,8 +83,9 @@ def normalize_id(spark: SparkSession, sf: str) -> DataFrame:
 
 def stringify_values(spark: SparkSession, sf: str) -> DataFrame:
     number = F.expr(
-        "CASE p % 3 WHEN 0 THEN cast(cast(58092000000 + o AS double) AS string) "
-        "WHEN 1 THEN concat(o, '.0') ELSE concat(o, '.25') END"
+        "CASE p % 4 WHEN 0 THEN cast(cast(58092000000 + o AS double) AS string) "
+        "WHEN 1 THEN concat(o, '.0') WHEN 2 THEN concat(o, '.25') "
+        "ELSE concat('1.', lpad(o, 9, '0'), 'E', 40 + n) END"
     )
     return d.published(spark, sf).select(
         *ROW, fn.stringify_cell(F.lit("number"), number).alias("shown")
@@ -178,11 +179,12 @@ def document_type_label(spark: SparkSession, sf: str) -> DataFrame:
 def enrichment_union_by_name(spark: SparkSession, sf: str) -> DataFrame:
     """Batches of three ages: the oldest without status, the next without a class."""
     history = d.enrichment_history(spark, sf)
-    oldest = history.filter("source = 'OTHER'").select("party_id", "source", "queried_at", "result")
-    older = history.filter("source <> 'OTHER' AND status = 'error'").select(
+    old = "source = 'OTHER' OR status IS NULL"
+    oldest = history.filter(old).select("party_id", "source", "queried_at", "result")
+    older = history.filter(f"NOT ({old}) AND status = 'error'").select(
         "status", "party_id", "source", "queried_at", "result", "name", "active"
     )
-    newest = history.filter("source <> 'OTHER' AND status <> 'error'")
+    newest = history.filter(f"NOT ({old}) AND status <> 'error'")
     return enrichment.union_batches(oldest, older, newest).select(
         "party_id", "source", "queried_at", "result", "name", "active", "status", "document_type"
     )

@@ -97,6 +97,10 @@ def search_candidates(digits: Column) -> Column:
 
 
 def lookup_candidates(number: Column) -> Column:
-    """Numbers to look a party up under in the registry, best first, as longs."""
-    both = F.array(number.try_cast("bigint"), _last_digit_dropped(number).try_cast("bigint"))
+    """Numbers to look a party up under in the registry, best first, as digits of any length."""
+
+    def plain(digits: Column) -> Column:
+        return F.when(digits.rlike("^[0-9]+$"), F.regexp_replace(digits, "^0+(?=.)", ""))
+
+    both = F.array(plain(number), plain(_last_digit_dropped(number)))
     return F.array_compact(F.array_distinct(both))

@@ -169,11 +169,21 @@ def normalize_digits(text: Column) -> Column:
     return F.nullif(F.regexp_replace(text, "[^0-9]", ""), F.lit(""))
 
 
+def _shifted(text: Column) -> Column:
+    """A number with a positive exponent, of any size, written out by moving its decimal point."""
+    pattern = r"^(-?)([0-9]+)(?:\.([0-9]+))?[eE][+]?([0-9]{1,3})$"
+    sign, whole, part = (F.regexp_extract(text, pattern, i) for i in (1, 2, 3))
+    zeros = F.regexp_extract(text, pattern, 4).try_cast("int") - F.length(part)
+    digits = F.regexp_replace(F.concat(whole, part, F.repeat(F.lit("0"), zeros)), "^0+(?=.)", "")
+    return F.when(zeros >= 0, F.concat(sign, digits))
+
+
 def number_text(text: Column) -> Column:
     """A number cell's text as kept: no exponent, and no ``.0`` on an integral value."""
     expanded = F.coalesce(
         F.regexp_replace(text.try_cast("decimal(38,10)").cast("string"), r"\.?0+$", ""),
         text.try_cast("decimal(38,0)").cast("string"),
+        _shifted(text),
         text,
     )
     return F.when(F.contains(F.upper(text), F.lit("E")), expanded).otherwise(
@@ -181,6 +191,11 @@ def number_text(text: Column) -> Column:
     )
 
 
+def number_repr(shown: Column) -> Column:
+    """A number as reject reasons show it: an integral one with ``.0``. Takes the stringified cell."""
+    return F.when(shown.rlike(r"^-?[0-9]{1,16}$"), F.concat(shown, F.lit(".0"))).otherwise(shown)
+
+
 def stringify_cell(kind: Column, text: Column) -> Column:
     """Text of a cell as kept in the ``_raw`` and pass-through columns."""
     return F.when(kind == NUMBER, number_text(text)).otherwise(text)

@@ -32,6 +32,8 @@ CATEGORY_KEY = "categoria"
 DETAIL_KEY = "detail"
 ACTIVE_STATE = "ACTIVA"
 NO_RECORDS = '{"registros":[]}'
+MALFORMED_ANSWER = "ValueError: the answer is no JSON object"
+MALFORMED_DETAIL = "ValueError: the detail is no JSON"
 
 
 def answered_parties(enrichment: DataFrame, source: str = REGISTRY) -> DataFrame:
@@ -56,33 +58,57 @@ def parties_to_enrich(
     return pending if limit is None else pending.orderBy("party_id").limit(limit)
 
 
+def read_answers(registry: DataFrame) -> DataFrame:
+    """Registry rows with ``record`` (the first one, if any) and ``error``.
+
+    What the registry gave back is an error as well if it is no JSON object, or if the detail of its
+    record is no JSON: such a party has no answer and is asked again.
+    """
+    response = strip(F.col("response"))
+    broken = response.isNotNull() & (
+        ~F.startswith(response, F.lit("{")) | F.try_parse_json("response").isNull()
+    )
+    read = registry.withColumn("record", F.get_json_object("response", FIRST_RECORD))
+    no_detail = F.col("record").isNotNull() & F.col("detail").isNotNull() & F.try_parse_json("detail").isNull()
+    return read.withColumn(
+        "error",
+        F.coalesce("error", F.when(broken, MALFORMED_ANSWER), F.when(no_detail, MALFORMED_DETAIL)),
+    )
+
+
 def lookup_registry(targets: DataFrame, registry: DataFrame) -> DataFrame:
     """The decisive registry answer of each target: the first candidate with a record or an error.
 
-    ``response`` and ``error`` are NULL for a target no candidate of which is registered.
+    Without one it is the answer to the last candidate the snapshot holds, kept as it is. ``response``
+    and ``error`` are NULL for a target of which the snapshot knows nothing. Candidates are weighed
+    as numbers alone; the answers, which are wide, are joined once to the chosen ones.
     """
     tries = targets.select(
         "party_id",
         F.posexplode(lookup_candidates(F.col("document_number"))).alias("pos", "nit"),
     )
-    answers = registry.withColumn(
-        "record", F.get_json_object("response", FIRST_RECORD)
-    ).filter("error IS NOT NULL OR record IS NOT NULL")
-    decisive = (
-        tries.join(answers.select("nit", "response", "record", "detail", "error"), "nit")
+    answers = read_answers(registry.withColumn("nit", F.col("nit").cast("string")))
+    decided = F.col("error").isNotNull() | F.col("record").isNotNull()
+    choice = F.struct(
+        (~F.col("decided")).alias("undecided"),
+        F.when(F.col("decided"), F.col("pos")).otherwise(-F.col("pos")).alias("order"),
+        "nit",
+    )
+    chosen = (
+        tries.join(answers.select("nit", decided.alias("decided")), "nit")
         .groupBy("party_id")
-        .agg(
-            F.min(F.struct("pos", "nit", "error", "response", "record", "detail")).alias("answer")
-        )
+        .agg(F.min(choice).alias("choice"))
+        .select("party_id", F.col("choice.nit").alias("nit"))
     )
-    return targets.join(decisive, "party_id", "left").select(
+    found = chosen.join(answers.select("nit", "response", "record", "detail", "error"), "nit")
+    return targets.join(found, "party_id", "left").select(
         "party_id",
         "document_number",
-        F.col("answer.nit").alias("matched_nit"),
-        "answer.response",
-        "answer.record",
-        "answer.detail",
-        "answer.error",
+        F.when(F.col("record").isNotNull() | F.col("error").isNotNull(), F.col("nit")).alias("matched_nit"),
+        "response",
+        "record",
+        "detail",
+        "error",
     )
 
 

@@ -21,6 +21,7 @@ from fallowfunds.functions.parsing import (
     date_from_clean,
     id_from_cell,
     period_from_key,
+    number_repr,
     python_repr,
     stringify_cell,
 )
@@ -55,6 +56,9 @@ AMOUNT_FIELDS = ("amount_cop",)
 DATE_FIELDS = ("origin_date", "case_action_date")
 RAW_KEPT = (*ID_FIELDS, *AMOUNT_FIELDS, *DATE_FIELDS)
 
+# Why a row is rejected whose sheet has cells but no columns: its column table is out of date.
+NO_COLUMNS = "no columns known for sheet="
+
 MAPPED = "mapped"
 SKIPPED = "skipped"
 UNMAPPED = "unmapped"
@@ -104,8 +108,8 @@ def _position(field: str) -> Column:
 
 
 def locate_fields(columns: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Per sheet: where each canonical field is, its column kind, and why the sheet is rejected."""
-    outcomes = mapping_outcome(columns, mapping).withColumn("sheet_reason", _sheet_reason())
+    """Per sheet: where each canonical field is, and its column kind."""
+    outcomes = mapping_outcome(columns, mapping)
     return outcomes.withColumn(
         "at", F.array(*[_position(f) for f in CANONICAL_FIELDS])
     ).withColumn(
@@ -123,14 +127,30 @@ def _picked(rows: DataFrame, mapping: DataFrame, columns: DataFrame | None) -> D
     # A sheet of blank rows only has no columns to find a period or names with.
     period = F.coalesce("period", period_from_key(F.col("key")))
     names = F.coalesce("names", F.array().cast("array<string>"))
-    return data_rows(rows, located).select(
+    placed = data_rows(rows, located).withColumn("period", period)
+    # Whether a sheet is mapped is asked of the rows themselves: a row whose sheet ``columns`` does
+    # not know must not pass as one without values.
+    pinned = mapping.select("period", "sheet", "skip_reason", F.lit(True).alias("pinned"))
+    judged = placed.join(pinned, ["period", "sheet"], "left").withColumn(
+        "outcome",
+        F.when(F.col("pinned").isNull(), UNMAPPED)
+        .when(F.col("skip_reason").isNotNull(), SKIPPED)
+        .otherwise(MAPPED),
+    )
+    unknown = F.col("names").isNull() & F.exists("cells", lambda c: c["text"].isNotNull())
+    reason = F.coalesce(
+        _sheet_reason(),
+        F.when(unknown, F.concat(F.lit(NO_COLUMNS), python_repr(F.col("sheet")))),
+    )
+    return judged.select(
         *SHEET,
-        period.alias("period"),
+        "period",
         "source_row",
         names.alias("names"),
         "cells",
-        "sheet_reason",
+        reason.alias("sheet_reason"),
         "field_kinds",
+        "at",
         value.alias("values"),
     )
 
@@ -191,8 +211,8 @@ def normalize(
     judged = parsed.withColumn(
         "bad_field", F.when(F.col("sheet_reason").isNull(), bad_field)
     ).withColumn("accepted", F.col("sheet_reason").isNull() & F.col("bad_field").isNull())
-    # Counted where rows are judged, for the run's own log. The split into accepted and rejected
-    # rows stays above this point: pushed below the projections, its condition would parse every
+    # A fence for the optimizer, not a count that anything reads: the split into accepted and
+    # rejected rows stays above it. Pushed below the projections, its condition would parse every
     # value again.
     judged = judged.observe(
         f"normalize-{uuid.uuid4()}",
@@ -202,9 +222,9 @@ def normalize(
 
     at = F.array_position(F.array(*[F.lit(f) for f in CANONICAL_FIELDS]), F.col("bad_field")) - 1
     bad_value = F.get("values", at.cast("int"))
-    shown = F.when(F.get("field_kinds", at.cast("int")) == NUMBER, bad_value).otherwise(
-        python_repr(bad_value)
-    )
+    shown = F.when(
+        F.get("field_kinds", at.cast("int")) == NUMBER, number_repr(bad_value)
+    ).otherwise(python_repr(bad_value))
     reason = F.coalesce(
         "sheet_reason",
         F.concat(F.lit("could not parse "), "bad_field", F.lit(" from "), shown),
@@ -321,3 +341,13 @@ def reconcile(
             F.when(F.col("rows_ok") + F.col("rows_rejected") != F.col("rows_read"), message),
         )
     )
+
+
+def reconciliation_total(checked: DataFrame) -> DataFrame:
+    """One row: files, rows read, accepted and rejected over all of them, and files in error."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0).cast("bigint")).alias(c)
+    return checked.agg(
+        F.count(F.lit(1)).alias("files"),
+        *[total(c) for c in ("rows_read", "rows_ok", "rows_rejected")],
+        F.count("error").alias("files_in_error"),
+    )

@@ -255,9 +255,17 @@ def profile(
 
 
 def schema_matrix(profiles: DataFrame, period: Column, periods: Sequence[str]) -> DataFrame:
-    """Column by period: the types a column name had, ``|`` between several, NULL when absent."""
+    """Column by period: the types a column name had, ``|`` between several, NULL when absent.
+
+    ``periods`` are the columns to make. A profile of any other period fails the query.
+    """
+    other = F.concat(F.lit("period not listed: "), F.coalesce(F.col("period"), F.lit("NULL")))
+    listed = F.when(F.col("period").isin(list(periods)), F.col("period")).otherwise(
+        F.raise_error(other).cast("string")
+    )
     return (
         profiles.withColumn("period", period)
+        .withColumn("period", listed)
         .groupBy("column")
         .pivot("period", list(periods))
         .agg(F.concat_ws("|", F.array_sort(F.collect_set("dtype"))))

@@ -15,21 +15,16 @@ from fallowfunds import contracts as c
 from fallowfunds.mappings import pinned_mapping
 from fallowfunds.operators import enrichment, identity, lifecycle, lineage, normalize, search, sheets
 from fallowfunds.sources import reading, writing
-from fallowfunds.sources.scratch import staged
+from fallowfunds.sources.scratch import written
 
 
 class ReconciliationError(RuntimeError):
     """Rows read and rows kept do not add up."""
 
 
-def _columns(spark: SparkSession, raw_rows: str) -> DataFrame:
-    """The columns of every sheet, stored, as each step joins the rows with them."""
-    return staged(
-        spark,
-        "sheet_columns",
-        raw_rows,
-        lambda: sheets.sheet_columns(reading.read_raw_rows(spark, raw_rows)),
-    )
+def _columns(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """The columns of every sheet, stored for this run, as each step joins the rows with them."""
+    return written(spark, "sheet_columns", sheets.sheet_columns(rows))
 
 
 def profile_publications(
@@ -38,7 +33,7 @@ def profile_publications(
     """Profile every column of every sheet into a CSV."""
     rows = reading.read_raw_rows(spark, raw_rows)
     errors = reading.read_raw_errors(spark, raw_errors)
-    writing.write_profile(sheets.profile(rows, errors, _columns(spark, raw_rows)), out)
+    writing.write_profile(sheets.profile(rows, errors, _columns(spark, rows)), out)
 
 
 def normalize_publications(
@@ -50,27 +45,27 @@ def normalize_publications(
 ) -> DataFrame:
     """Sheets to staging and rejects; fails if any file does not reconcile.
 
-    Returns the reconciliation per file, counted on what was written.
+    Rows are judged into a table of this run, checked and reconciled there, and only then take the
+    place of the captures' former rows. A failed run changes nothing that readers see. Returns the
+    reconciliation per file; ``normalize.reconciliation_total`` sums it up.
     """
     rows = reading.read_raw_rows(spark, raw_rows)
     errors = reading.read_raw_errors(spark, raw_errors)
-    columns = _columns(spark, raw_rows)
+    columns = _columns(spark, rows)
     normalized = normalize.normalize(
         rows, pinned_mapping(spark) if mapping is None else mapping, columns
     )
-    writing.write_normalized(normalized, errors, root)
-    staging, rejects = reading.read_staging(spark, root), reading.read_rejects(spark, root)
-    present = rows.select("key").unionByName(errors.select("key")).distinct()
-    ids = present.select(lineage.hash_id(F.col("key")).alias("capture_id"), "key")
-    mine = staging.join(ids.select("capture_id"), "capture_id", "left_semi")
-    c.validate(mine, c.STAGING)
+    judged = written(spark, "judged", normalized)
+    accepted = normalize.accepted(judged)
+    c.validate(accepted, c.STAGING)
     checked = normalize.reconcile(
-        rows, errors, mine, rejects.join(ids.select("key"), "key", "left_semi"), columns
+        rows, errors, accepted, normalize.rejected(judged, errors), columns
     )
-    # A few lines for the message; the count of wrong files is not needed.
-    wrong = checked.filter("error IS NOT NULL").select("key", "error").limit(10).collect()
+    wrong = checked.filter("error IS NOT NULL").select("key", "error").orderBy("key").collect()
     if wrong:
         raise ReconciliationError("; ".join(f"{r['key']}: {r['error']}" for r in wrong))
+    present = rows.select("key").unionByName(errors.select("key")).distinct()
+    writing.write_normalized(judged, errors, root, present)
     return checked
 
 
@@ -123,17 +118,16 @@ def enrich_parties(
 ) -> DataFrame:
     """Look the next pending parties up in a registry snapshot and append the batch.
 
-    Returns the batch's totals.
+    The batch is checked before it joins the history. Returns its totals.
     """
     at = at or dt.datetime.now(dt.UTC).replace(tzinfo=None)
     targets = enrichment.parties_to_enrich(
         reading.read_core(spark, root, c.PARTY), reading.read_enrichment(spark, root), limit
     )
-    batch = enrichment.enrich(targets, registry, at)
+    batch = written(spark, "batch", enrichment.enrich(targets, registry, at))
+    c.validate(batch, c.ENRICHMENT)
     writing.append_enrichment(batch, root, writing.batch_id(at))
-    written = reading.read_enrichment(spark, root).filter(F.col("queried_at") == F.lit(at))
-    c.validate(written, c.ENRICHMENT)
-    return enrichment.enrichment_summary(written)
+    return enrichment.enrichment_summary(batch)
 
 
 def core_deposits(

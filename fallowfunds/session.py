@@ -1,8 +1,8 @@
-"""Session settings the jobs are written for, and spreading of narrow inputs."""
+"""Session settings the jobs are written for."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # HotSpot leaves methods beyond 8000 bytes uncompiled. A stage whose single generated method would
 # be larger than that is generated in small methods instead, several times as fast.
@@ -11,7 +11,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -21,12 +20,3 @@ def tune(spark: SparkSession) -> SparkSession:
         spark.conf.set(name, value)
     return spark
 
-
-def spread(frame: DataFrame) -> DataFrame:
-    """Give a frame read in fewer splits than there are cores to all of them.
-
-    Does nothing to an input that is already split well, so never moves a large table.
-    """
-    cores = frame.sparkSession.sparkContext.defaultParallelism
-    splits = frame._jdf.queryExecution().toRdd().getNumPartitions()
-    return frame.repartition(cores) if splits < cores else frame

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,20 +12,33 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+class NoSharedFolder(RuntimeError):
+    """The cluster names no folder that all its machines share."""
+
+
 def scratch_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only for a session that names none."""
+    """The cluster's checkpoint folder. Without one only a local session gets a folder of its own."""
     configured = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise NoSharedFolder(f"set {CHECKPOINT_DIR} to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="fallowfunds-")
         spark.sparkContext.setCheckpointDir(configured)
         configured = spark.sparkContext.getCheckpointDir()
     return f"{configured.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
+def written(spark: SparkSession, name: str, frame: DataFrame) -> DataFrame:
+    """A frame several steps of one run read, written to a folder of this call's own."""
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
 def staged(spark: SparkSession, name: str, of: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A frame several steps read, written once per application as Parquet and read from there.
+    """A frame made of inputs that never change, written once per application and read from there.
 
-    Later steps then prune columns and push filters into it, and a lost executor costs a re-read
+    For inputs that may grow use :func:`written`, which never takes up an earlier run's table. Later steps then prune columns and push filters into it, and a lost executor costs a re-read
     of files rather than the whole lineage. ``of`` tells apart tables made of different inputs.
     """
     digest = hashlib.sha256(of.encode()).hexdigest()[:16]

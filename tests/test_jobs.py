@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fallowfunds import contracts as c
-from fallowfunds.operators import sheets
+from fallowfunds.mappings import pinned_mapping
+from fallowfunds.operators import enrichment, normalize, sheets
 from fallowfunds.plans import jobs
 from fallowfunds.sources import reading, writing
 
@@ -164,11 +165,113 @@ def test_discover_and_hash(spark, tmp_path):
     (folder / "b.xlsx").write_bytes(b"defg")
     found = {r["key"].rsplit("/", 1)[1]: r for r in reading.discover(spark, str(tmp_path)).collect()}
     assert set(found) == {"a.xlsx", "b.xlsx"} and found["a.xlsx"]["length"] == 3
+    (folder / "_hidden.xlsx").write_bytes(b"h")
+    (folder / "empty.xlsx").write_bytes(b"")
     hashed = {
-        r["key"].rsplit("/", 1)[1]: r["content_hash"]
-        for r in reading.read_objects(spark, str(tmp_path)).collect()
+        r["key"]: r["content_hash"] for r in reading.read_objects(spark, str(tmp_path)).collect()
     }
-    assert hashed["a.xlsx"] == "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad"
+    assert hashed == {
+        "raw/2024-1/a.xlsx": "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad",
+        "raw/2024-1/b.xlsx": "4c8a43980498636e9c1d1595fa5d115af7937c2422dfe68a2520a52b7a5fb4de",
+        "raw/2024-1/_hidden.xlsx": None,
+        "raw/2024-1/empty.xlsx": None,
+    }
+    below = reading.discover(spark, str(folder), str(tmp_path)).collect()
+    assert {r["key"] for r in below} == set(hashed)
+
+
+def test_files_on_disk_join_their_captures(spark, tmp_path):
+    """Discovery, normalisation and lineage agree on a file's id."""
+    for key in (KEY, OTHER):
+        (tmp_path / "bucket" / key).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "bucket" / key).write_bytes(key.encode())
+    rows = sheet_rows(spark, KEY, "Busqueda", [HEADER, ROW_1, ROW_3]).unionByName(
+        sheet_rows(spark, OTHER, "Busqueda", [HEADER, ROW_2])
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    root = str(tmp_path / "out")
+    jobs.normalize_publications(spark, str(tmp_path / "rows"), root)
+    found = reading.read_objects(spark, str(tmp_path / "bucket"))
+    jobs.build_lineage(spark, found, root, "s3://b/")
+    files = {r["file_id"]: r["uri"] for r in reading.read_core(spark, root, c.FILE).collect()}
+    captures = reading.read_core(spark, root, c.CAPTURE).collect()
+    assert {(files[r["file_id"]], r["rows_ok"], r["rows_rejected"]) for r in captures} == {
+        (f"s3://b/{KEY}", 2, 0), (f"s3://b/{OTHER}", 0, 1),
+    }
+    staging = reading.read_staging(spark, root)
+    assert {r["capture_id"] for r in captures if r["rows_ok"]} == {
+        r["capture_id"] for r in staging.select("capture_id").distinct().collect()
+    }
+
+
+def test_rerun_after_new_publications(spark, tmp_path):
+    """What was appended between two runs is parsed, and an unmapped sheet is rejected."""
+    path, root = str(tmp_path / "rows"), str(tmp_path / "out")
+    sheet_rows(spark, KEY, "Busqueda", [HEADER, ROW_1]).write.parquet(path)
+    jobs.normalize_publications(spark, path, root)
+    new, odd = "raw/deposits/2025-1/new.xlsx", "raw/deposits/2025-2/odd.xlsx"
+    sheet_rows(spark, new, "Busqueda", [HEADER, ROW_3]).write.mode("append").parquet(path)
+    sheet_rows(spark, odd, "Nueva", [HEADER, ROW_1]).write.mode("append").parquet(path)
+    total = normalize.reconciliation_total(jobs.normalize_publications(spark, path, root)).first()
+    assert tuple(total) == (3, 3, 2, 1, 0)
+    added = reading.read_staging(spark, root).filter("period = '2025-1'").first()
+    assert (added["deposit_no"], added["amount_cop"]) == ("3", 5)
+    (reject,) = reading.read_rejects(spark, root).collect()
+    assert reject["reason"] == "no column mapping for period='2025-2' sheet='Nueva'"
+
+
+def test_rows_without_columns_are_not_accepted(spark):
+    """A column table that is out of date, and blank rows of an unmapped sheet."""
+    rows = sheet_rows(spark, KEY, "Busqueda", [HEADER, ROW_1]).unionByName(
+        sheet_rows(spark, "raw/deposits/2025-2/odd.xlsx", "Nueva", [[], [None]])
+    )
+    mapping = pinned_mapping(spark)
+    stale = sheets.sheet_columns(rows).filter("false")
+    judged = {r["key"]: r["reject_reason"] for r in normalize.normalize(rows, mapping, stale).collect()}
+    assert judged == {
+        KEY: "no columns known for sheet='Busqueda'",
+        "raw/deposits/2025-2/odd.xlsx": "no column mapping for period='2025-2' sheet='Nueva'",
+    }
+
+
+def test_failed_runs_change_nothing(spark, tmp_path, monkeypatch):
+    path, root = str(tmp_path / "rows"), str(tmp_path / "out")
+    sheet_rows(spark, KEY, "Busqueda", [HEADER, ROW_1]).write.parquet(path)
+    jobs.normalize_publications(spark, path, root)
+    before = reading.read_staging(spark, root).collect()
+    sheet_rows(spark, OTHER, "Busqueda", [HEADER, ROW_1, ROW_3]).write.mode("append").parquet(path)
+    lose = normalize.accepted
+    monkeypatch.setattr(normalize, "accepted", lambda n: lose(n).filter("deposit_no <> '3'"))
+    with pytest.raises(jobs.ReconciliationError, match=f"{OTHER}: 1 ok . 0 rejected != 2 read"):
+        jobs.normalize_publications(spark, path, root)
+    assert reading.read_staging(spark, root).collect() == before
+
+
+def test_a_capture_without_rows_replaces_its_former_ones(spark, tmp_path):
+    root = str(tmp_path / "out")
+    for name, table in (("one", [HEADER, ROW_1]), ("two", [HEADER])):
+        path = str(tmp_path / name)
+        sheet_rows(spark, KEY, "Busqueda", table).write.parquet(path)
+        jobs.normalize_publications(spark, path, root)
+    assert reading.read_staging(spark, root).count() == reading.read_rejects(spark, root).count() == 0
+
+
+def test_a_bad_batch_stays_out_of_the_history(spark, tmp_path):
+    root = str(tmp_path / "out")
+    parties = spark.createDataFrame([("p1", "123456789", None, None, None)], c.PARTY.schema)
+    writing.write_core(parties, c.PARTY, root)
+    registry = spark.createDataFrame([(123456789, '{"registros":[]}', None, None)], reading.REGISTRY_SCHEMA)
+    broken = enrichment.enrich
+
+    def without_ids(*args):
+        return c.ENRICHMENT.project(broken(*args).withColumn("party_id", F.lit(None).cast("string")))
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(enrichment, "enrich", without_ids)
+        with pytest.raises(c.ContractViolation):
+            jobs.enrich_parties(spark, registry, root)
+    assert reading.read_enrichment(spark, root).count() == 0
+    assert jobs.enrich_parties(spark, registry, root).first()["queried"] == 1
 
 
 def test_profile_csv(spark, raw, tmp_path):

@@ -235,6 +235,29 @@ def test_lookup_order_and_errors(spark):
     assert rows["late_error"]["document_type_rule_id"] is None
 
 
+def test_broken_answers_are_errors_and_misses_are_kept(spark):
+    targets = spark.createDataFrame(
+        [("html", "1"), ("detail", "2"), ("list", "3"), ("miss", "444444444"), ("long", "9" * 20)],
+        "party_id string, document_number string",
+    )
+    record = '{"registros":[{"razon_social":"x"}]}'
+    registry = spark.createDataFrame(
+        [
+            (1, "<html>", None, None), (2, record, "{broken", None), (3, "[1]", None, None),
+            (444444444, '{"registros":[],"n":1}', None, None), (44444444, '{"registros":[],"n":2}', None, None),
+        ],
+        "nit bigint, response string, detail string, error string",
+    ).withColumn("nit", F.col("nit").cast("string")).unionByName(
+        spark.createDataFrame([("9" * 20, record, None, None)], "nit string, response string, detail string, error string")
+    )
+    rows = {r["party_id"]: r for r in enrichment.enrich(targets, registry, dt.datetime(2026, 1, 1)).collect()}
+    assert {k: r["status"] for k, r in rows.items()} == {
+        "html": "error", "detail": "error", "list": "error", "miss": "not_found", "long": "found",
+    }
+    assert rows["miss"]["result"] == '{"registros":[],"n":2}'
+    assert rows["detail"]["name"] is None and "detail" in rows["detail"]["result"]
+
+
 def test_summary_counts_unknown_court_once(spark):
     deposits = spark.createDataFrame(
         [("p", "c1", None, 5, "plaintiff", "2020-1"), ("p", "c2", None, None, "defendant", "2020-2"),
