@@ -6,19 +6,19 @@ that agree in all registers of a band are candidates. The likelihood of the regi
 both sizes, sorts out most; full shingle sets decide the rest.
 
 Groups are never turned into all pairs. Equal sets are one node. A bucket's members are compared
-with few of them (pivots); only what is still unconnected meets further pivots, until nothing is.
+with few of them (pivots); what is still unconnected is compared in blocks, inside tasks.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fallowfunds.llm.common import passed, stored, whole
 from fallowfunds.llm.components import components
-from fallowfunds.llm.flat import Hasher, chunks, mix, shingles, words
+from fallowfunds.llm.flat import Hasher, buffers, chunks, mix, shingles, words
 
 WORDS = 5
 PERCENT = 80  # similarity that links two documents
@@ -27,7 +27,8 @@ BANDS, ROWS = 24, 4  # two sets of similarity 0.8 miss each other once in 300,00
 REGISTERS = BANDS * ROWS
 SLACK = 0.2  # over five standard deviations of the estimate at 0.8
 BLOCK = 64  # values drawn at once for the few elements that need many
-GROUP = 512  # members compared with one copy of a pivot
+PIVOTS = 8  # of a bucket, in the second round
+GROUP = 512  # members compared with one copy of a pivot, or held as one block
 
 
 def distinct_shingles(data: np.ndarray, offsets: np.ndarray, n: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -168,30 +169,37 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return together.mapInArrow(run, "a long, b long")
 
 
+def _open_buckets(active: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (key, id, n, mass, comp, members, first) of buckets that still hold several components."""
+    named = active.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    still = named.groupBy("key").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("members"),
+        F.max(F.struct("mass", "id")).alias("first"), F.sum(F.xxhash64("id") / F.lit(2.0**32)).alias("sum"),
+    ).filter("low < high")
+    # Bands that gather the same members are one bucket.
+    one = still.groupBy("members", "low", "high", "first", F.round("sum", 3).alias("s")).agg(F.min("key").alias("key"))
+    return named.join(one.select("key", "members", "first"), "key")
+
+
 def link(nodes: DataFrame, texts: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
-    """(id, comp) of all nodes (id, n, registers) that ``buckets`` (key, id, n) connect.
+    """(id, comp) of all nodes (id, n, registers) that ``buckets`` (key, id, n, mass) connect.
 
-    A round takes pivots in every bucket that still holds unconnected members: one at first, then
-    about 8, 64, 512, ... Pivots are compared with all members of other components and retire, so
-    after the last round every two members are connected, were compared, or differ too much in size.
+    Two rounds compare the members of each bucket that is not connected with its pivots, one and then
+    PIVOTS: those of most ``mass``, as the text that a group's copies were made from shares most
+    bands with the others and usually connects them all at once. Pivots retire. What then is left
+    in a bucket is compared in blocks. So in the end every two members of a bucket are connected,
+    were compared, or differ too much in size.
     """
     spark = nodes.sparkSession
     labels = spark.createDataFrame([], "id long, comp long")
     tested = spark.createDataFrame([], "a long, b long")
-    active, wanted = buckets, 1
-    while True:
-        named = active.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        sizes = named.groupBy("key").agg(
-            F.count(F.lit(1)).alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high"),
-            F.min(F.xxhash64("id", "key")).alias("least"),
-        ).filter("low < high").select("key", "members", "least")
-        order = F.xxhash64("id", "key")
-        chosen = (order == F.col("least")) if wanted == 1 else (
-            (order == F.col("least")) | (F.pmod(order, F.greatest(F.lit(1), F.floor(F.col("members") / wanted))) == 0)
+    active = buckets
+    for wanted in (1, PIVOTS):
+        central = Window.partitionBy("key").orderBy(F.desc("mass"), "id")
+        pivot = (F.col("first.id") == F.col("id")) if wanted == 1 else F.row_number().over(central) <= wanted
+        active = stored(
+            _open_buckets(active, labels).withColumn("pivot", pivot).drop("first", "members"), "buckets"
         )
-        active = stored(named.join(sizes, "key").select("key", "id", "n", "comp", chosen.alias("pivot")), "buckets")
-        if active.isEmpty():
-            return labels
         pivots = active.filter("pivot").select("key", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("comp").alias("comp_b"))
         alike = F.least("n", "n_b") * 100 >= F.greatest("n", "n_b") * percent
         met = (
@@ -201,12 +209,91 @@ def link(nodes: DataFrame, texts: DataFrame, buckets: DataFrame, percent: int) -
             .distinct()
         )
         both_ways = tested.unionByName(tested.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        fresh = stored(met.join(both_ways, ["a", "b"], "left_anti"), "pairs")
-        found = stored(verify(stored(likely(fresh, nodes, percent), "likely"), texts, percent), "found")
-        tested = stored(tested.unionByName(fresh), "tested")
+        tested = stored(met.join(both_ways, ["a", "b"], "left_anti"), "pairs")
+        found = stored(verify(stored(likely(tested, nodes, percent), "likely"), texts, percent), "found")
         labels = _merge(labels, found)
-        active = active.filter("NOT pivot").select("key", "id", "n")
-        wanted *= 8
+        active = active.filter("NOT pivot").select("key", "id", "n", "mass")
+    rest = stored(_open_buckets(active, labels).select("key", "id", "comp", "members"), "buckets")
+    if rest.isEmpty():
+        return labels
+    return _merge(labels, stored(compare_blocks(rest, texts, percent), "found"))
+
+
+def shared_counts(hashed: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """(rows, rows): sizes of the intersections of the sets between the offsets ``at``."""
+    n = len(at) - 1
+    row = np.repeat(np.arange(n), np.diff(at))
+    order = np.argsort(hashed, kind="stable")
+    value, row = hashed[order], row[order]
+    new = np.append(True, value[1:] != value[:-1])[: len(value)]
+    size = np.diff(np.append(np.flatnonzero(new), len(value)))
+    several = np.repeat(size > 1, size)  # what one row alone holds is in no intersection
+    row, column = row[several], np.cumsum(new[several]) - 1
+    total = np.zeros((n, n), np.float32)
+    width = max(1, (1 << 22) // max(n, 1))
+    last = int(column[-1]) + 1 if len(column) else 0
+    for first in range(0, last, width):
+        a, b = np.searchsorted(column, [first, first + width])
+        part = np.zeros((n, width), np.float32)
+        part[row[a:b], column[a:b] - first] = 1
+        total += part @ part.T
+    return total.astype(np.int64)
+
+
+def compare_blocks(members: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among the members (key, id, comp, members) of each bucket, by full sets.
+
+    A bucket of more than GROUP members is cut into blocks by a hash; a task holds two blocks at
+    most. Products of the sets' indicator matrices count the intersections, and of the links found a
+    task gives back only such as join components, so no pairs are written out.
+    """
+    blocks = F.ceil(F.col("members") / GROUP).cast("int")
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    units = (
+        members.withColumn("blocks", blocks).withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"), "id", "comp")
+    )
+    laid = units.join(texts.select("id", "text"), "id").select("key", "x", "y", "id", "comp", "text")
+    laid = laid.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y", "id")
+
+    def links(rows):
+        data, offsets = buffers(pa.concat_arrays([r[2] for r in rows]))
+        ids, comp = np.concatenate([r[0] for r in rows]), np.concatenate([r[1] for r in rows])
+        hashed, at = distinct_shingles(data, offsets)
+        shared, size = shared_counts(hashed, at), np.diff(at)
+        near = (shared > 0) & (100 * shared >= percent * (size[:, None] + size[None, :] - shared))
+        found, top = [], {}
+
+        def root(c):
+            while top.get(c, c) != c:
+                c = top[c]
+            return c
+
+        for i, j in zip(*np.nonzero(np.triu(near, 1)), strict=True):
+            a, b = root(comp[i]), root(comp[j])
+            if a != b:
+                top[max(a, b)] = min(a, b)
+                found.append((int(ids[i]), int(ids[j])))
+        return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    def run(batches):
+        held, unit = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            place = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(3)], axis=1)
+            cut = [0, *(np.flatnonzero((place[1:] != place[:-1]).any(axis=1)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                if held and tuple(place[a]) != unit:
+                    yield links(held)
+                    held = []
+                unit = tuple(place[a])
+                held.append((batch.column(3).to_numpy()[a:b], batch.column(4).to_numpy()[a:b], batch.column(5).slice(a, b - a)))
+        if held:
+            yield links(held)
+
+    return laid.mapInArrow(run, "a long, b long")
 
 
 def _merge(labels: DataFrame, found: DataFrame) -> DataFrame:
@@ -253,9 +340,11 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_
     members = stored(sketches.select("id", *same).join(classes, same, "left").select("id", "n", "rep"), "members")
     nodes = sketches.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
     spread = nodes.select("id", "n", F.explode("bands").alias("key"))
-    full = spread.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("key")
-    buckets = stored(spread.join(full, "key").select("key", "id", "n").distinct(), "buckets")
-    wanted = stored(buckets.select("id").distinct(), "candidates")
+    full = spread.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    shared = stored(spread.join(full, "key"), "buckets")
+    mass = shared.groupBy("id").agg(F.sum("c").alias("mass"))
+    buckets = shared.join(mass, "id").select("key", "id", "n", "mass")
+    wanted = stored(mass.select("id"), "candidates")
     some = stored(nodes.select("id", "n", "registers").join(wanted, "id", "left_semi"), "registers")
     texts = stored(rows.join(wanted, "id", "left_semi"), "texts")
     labels = link(some, texts, buckets, percent).select(F.col("id").alias("rep"), "comp")

@@ -125,20 +125,22 @@ def mix(
         )
     else:
         plan = _plan(narrow, sizes, full, exponent(full, budget, repeat, entropy), budget, seed)
+    # The plan's names must not meet those of the caller's columns.
+    plan = plan.select(SOURCE, *[F.col(c).alias(f"__{c}") for c in plan.columns if c != SOURCE])
     chosen = rows.join(plan, SOURCE).withColumns(
-        {"__block": _block(F.col(ID), F.col("blocks"), seed)}
+        {"__block": _block(F.col(ID), F.col("__blocks"), seed)}
     ).withColumns(
         {
-            "__order": _key(seed, F.lit("order"), F.col("passes"), F.col(SOURCE), F.col("__block")),
-            "__key": _key(seed, F.lit("doc"), F.col("passes"), F.col(ID)),
+            "__order": _key(seed, F.lit("order"), F.col("__passes"), F.col(SOURCE), F.col("__block")),
+            "__key": _key(seed, F.lit("doc"), F.col("__passes"), F.col(ID)),
         }
     )
     last = F.coalesce(
-        _before(F.col("__order"), F.col("__block"), F.col("at_order"), F.col("at_block"))
-        | ((F.col("__block") == F.col("at_block")) & (F.col("__key") <= F.col("at_key"))),
+        _before(F.col("__order"), F.col("__block"), F.col("__at_order"), F.col("__at_block"))
+        | ((F.col("__block") == F.col("__at_block")) & (F.col("__key") <= F.col("__at_key"))),
         F.lit(False),
     )
-    copies = F.col("passes") + last.cast("int")
+    copies = F.col("__passes") + last.cast("int")
     epochs = F.when(copies > 0, F.sequence(F.lit(0), copies - 1))
     return (
         chosen.withColumn("__epoch", F.explode(epochs))
@@ -146,7 +148,7 @@ def mix(
             *passed(docs, "epoch", "n_tokens", "weight", "block", "order_key"),
             F.col("__epoch").alias("epoch"),
             F.col(TOKENS).alias("n_tokens"),
-            F.round("weight", 9).alias("weight"),
+            F.round("__weight", 9).alias("weight"),
             F.col("__block").alias("block"),
             F.concat(
                 _key(seed, F.lit("order"), F.col("__epoch"), F.col(SOURCE), F.col("__block")),
