@@ -810,9 +810,10 @@ def build() -> dict[str, str]:
         "(SELECT max(period) FROM pub) AS corpus_latest_period, "
         "last_period = (SELECT max(period) FROM pub) AS is_current_publication FROM summary",
         "party_search": f"WITH {ALL_SEARCH}, {typed}, {REQUESTS}, {LATEST}, {WINDOWS} "
-        "SELECT raw_value, document_number, document_type, party_name, rues_active, "
-        "coalesce(s.deposit_count, 0) AS deposit_count, "
-        "coalesce(s.total_amount_cop, 0) AS total_amount_cop, s.court_office_count, s.last_period, "
+        "SELECT raw_value, m.party_id IS NOT NULL AS found, document_number, document_type, "
+        "party_name, rues_active, CASE WHEN m.party_id IS NOT NULL THEN coalesce(s.deposit_count, 0) "
+        "END AS deposit_count, CASE WHEN m.party_id IS NOT NULL THEN coalesce(s.total_amount_cop, 0) "
+        "END AS total_amount_cop, s.court_office_count, s.last_period, "
         "s.plaintiff_count, s.defendant_count, b.deposit_count AS last_period_deposit_count, "
         "b.total_amount_cop AS last_period_amount_cop, "
         f"CASE WHEN closes_on IS NOT NULL THEN CASE WHEN {AS_OF} <= closes_on THEN 'reclamable' "
@@ -821,7 +822,7 @@ def build() -> dict[str, str]:
         "FROM matched m LEFT JOIN latest l ON l.party_id = m.party_id "
         "LEFT JOIN summary s ON s.party_id = m.party_id "
         "LEFT JOIN by_period b ON b.party_id = s.party_id AND b.last_period = s.last_period "
-        "LEFT JOIN win_dates w ON w.period = s.last_period WHERE m.party_id IS NOT NULL",
+        "LEFT JOIN win_dates w ON w.period = s.last_period",
         "raw_to_party_summary": f"WITH {NORMAL}, stg AS (SELECT * FROM ok), {CLAIMS}, {BRIDGE}, "
         f"{COURT_NAMES}, {LAST_PERIOD}, {DEPOSITS}, {SUMMARY} SELECT * FROM summary",
     }

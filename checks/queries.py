@@ -22,7 +22,7 @@ from fallowfunds.operators import (
     search,
     sheets,
 )
-from fallowfunds.sources.scratch import staged
+from fallowfunds.sources.scratch import staged, written
 
 AS_OF = dt.date(1999, 6, 30)
 RUN_AT = dt.datetime(2026, 1, 15, 12, 0, 0)
@@ -511,17 +511,16 @@ def party_currency(spark: SparkSession, sf: str) -> DataFrame:
 def party_search(spark: SparkSession, sf: str) -> DataFrame:
     core = _core(spark, sf)
     requests, parties = d.search_requests(spark, sf), _stored_parties(spark, sf)
-    matched = search.find_party(requests, parties).filter("party_id IS NOT NULL")
+    matched = written(spark, "matched", search.find_party(requests, parties))
     return search.search_parties(
-        requests,
-        parties,
-        core.deposits_of(matched.select("party_id")),
+        matched,
+        core.deposits_of(matched.filter("party_id IS NOT NULL").select("party_id").distinct()),
         d.enrichment_history(spark, sf),
         core.files,
         d.claim_windows(spark, sf),
         AS_OF,
     ).select(
-        "raw_value", "document_number", "document_type", "party_name", "rues_active",
+        "raw_value", "found", "document_number", "document_type", "party_name", "rues_active",
         "deposit_count", "total_amount_cop", "court_office_count", "last_period",
         "plaintiff_count", "defendant_count", "last_period_deposit_count",
         "last_period_amount_cop", "claim_status", "is_current_publication",

@@ -146,13 +146,14 @@ def core_deposits(
 def search_parties(
     spark: SparkSession, requests: DataFrame, windows: DataFrame, root: str, as_of: dt.date
 ) -> DataFrame:
-    """Answer ``requests(raw_value)`` from the core tables."""
-    parties = reading.read_core(spark, root, c.PARTY)
-    matched = search.find_party(requests, parties).filter("party_id IS NOT NULL")
+    """Answer ``requests(raw_value)`` from the core tables; one row for each distinct request."""
+    matched = written(
+        spark, "matched", search.find_party(requests, reading.read_core(spark, root, c.PARTY))
+    )
+    wanted = matched.filter("party_id IS NOT NULL").select("party_id").distinct()
     return search.search_parties(
-        requests,
-        parties,
-        core_deposits(spark, root, matched.select("party_id")),
+        matched,
+        core_deposits(spark, root, wanted),
         reading.read_enrichment(spark, root),
         reading.read_core(spark, root, c.FILE),
         windows,

@@ -113,8 +113,11 @@ def test_pipeline_end_to_end(spark, raw):
     )
     requests = spark.createDataFrame([("123.456.789-6",), ("nobody",)], "raw_value string")
     answer = jobs.search_parties(spark, requests, windows, root, dt.date(2024, 8, 1)).collect()
-    assert len(answer) == 1
-    found = answer[0].asDict()
+    by_request = {r["raw_value"]: r.asDict() for r in answer}
+    assert len(answer) == 2 and by_request["nobody"]["found"] is False
+    assert by_request["nobody"]["deposit_count"] is None
+    found = by_request["123.456.789-6"]
+    assert found["found"] is True and found["last_period_deposit_count"] >= 1
     assert found["document_number"] == "123456789" and found["party_name"] == "ACME"
     assert found["deposit_count"] == 2 and found["total_amount_cop"] == 135005
     # One deposit has no known court, which counts as one office.
