@@ -5,7 +5,9 @@ Python is used for the tokenizer and checksums; Spark sorts, writes, prunes and
 
 from __future__ import annotations
 
+import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,9 +20,10 @@ from fallowfunds.llm.flat import Hasher, chunks
 
 FILE_SCHEMA = "doc_id long, shard int, local_start long, n_tokens long, ids array<int>"
 BLOOM_FALSE_POSITIVES = 0.01
+STRIPE = 16 << 20  # bytes of a stripe, the unit of parallel reads; a writer holds one in memory
 ROWS_PER_INDEX = 1000  # rows between two entries of a stripe's row index
 CACHED = 800_000  # pieces a worker remembers before it starts anew
-AT_ONCE = 20_000  # pieces given to the tokenizer in one call
+AT_ONCE = 4_000  # pieces given to the tokenizer in one call
 
 # Classes of bytes for cutting a text where the tokenizer's pattern cuts it in any case.
 OTHER, BLANK, BREAK, LETTER, MARK, QUOTE = range(6)
@@ -94,7 +97,7 @@ class PieceEncoder:
             pieces = [raw[a:b].decode() for a, b in zip(start[i : i + AT_ONCE], end[i : i + AT_ONCE], strict=True)]
             found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
             sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-            flats.append(np.fromiter((i for ids in found for i in ids), np.int32, int(sizes[-1].sum())))
+            flats.append(np.fromiter(chain.from_iterable(found), np.int32, int(sizes[-1].sum())))
         size = np.concatenate(sizes)
         first = len(self.pool) + np.cumsum(size) - size
         slot = np.arange(len(self.first), len(self.first) + len(keys))
@@ -146,6 +149,8 @@ _ENCODERS: dict[str, PieceEncoder] = {}
 
 def encoder(path: str) -> PieceEncoder:
     if path not in _ENCODERS:
+        # A task has one core, and the library's threads would each keep memory of their own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         _ENCODERS[path] = PieceEncoder(path)
     return _ENCODERS[path]
 
@@ -185,6 +190,7 @@ def write(tokens: DataFrame, path: str) -> None:
     (
         tokens.write.mode("overwrite")
         .option("compression", "zstd")
+        .option("orc.stripe.size", STRIPE)
         .option("orc.row.index.stride", ROWS_PER_INDEX)
         .option("orc.bloom.filter.columns", "doc_id")
         .option("orc.bloom.filter.fpp", BLOOM_FALSE_POSITIVES)
