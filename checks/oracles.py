@@ -826,4 +826,9 @@ def build() -> dict[str, str]:
         "raw_to_party_summary": f"WITH {NORMAL}, stg AS (SELECT * FROM ok), {CLAIMS}, {BRIDGE}, "
         f"{COURT_NAMES}, {LAST_PERIOD}, {DEPOSITS}, {SUMMARY} SELECT * FROM summary",
     }
-    return {**scalars, **sources, **raw, **lineage, **identity, **lifecycle, **enrichment, **search}
+    trips = {
+        "staging_round_trip": raw["normalize_ok"],
+        "core_round_trip": identity["apply_classification"],
+        "enrichment_round_trip": f"WITH {ENRICH} SELECT * FROM attempt",
+    }
+    return {**trips, **scalars, **sources, **raw, **lineage, **identity, **lifecycle, **enrichment, **search}

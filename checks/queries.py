@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -22,7 +23,8 @@ from fallowfunds.operators import (
     search,
     sheets,
 )
-from fallowfunds.sources.scratch import staged, written
+from fallowfunds.sources import reading, writing
+from fallowfunds.sources.scratch import scratch_dir, staged, written
 
 AS_OF = dt.date(1999, 6, 30)
 RUN_AT = dt.datetime(2026, 1, 15, 12, 0, 0)
@@ -543,6 +545,38 @@ def raw_to_party_summary(spark: SparkSession, sf: str) -> DataFrame:
     return search.party_summary(deposits)
 
 
+# --- written, written again, read back ----------------------------------------------------
+
+
+def _root(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark)}/round-trip-{uuid.uuid4().hex}"
+
+
+def staging_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    root, judged, errors = _root(spark), _stored_normalized(spark, sf), d.raw_errors(spark, sf)
+    for _ in range(2):
+        writing.write_normalized(judged, errors, root)
+    return reading.read_staging(spark, root)
+
+
+def core_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    root = _root(spark)
+    for _ in range(2):
+        writing.write_core(_stored_parties(spark, sf), contracts.PARTY, root)
+    return reading.read_core(spark, root, contracts.PARTY)
+
+
+def enrichment_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """Every pending party's attempt, the batch appended twice under one id."""
+    root = _root(spark)
+    batch = written(
+        spark, "batch", enrichment.enrich(_pending(spark, sf), d.registry(spark, sf), RUN_AT)
+    )
+    for _ in range(2):
+        writing.append_enrichment(batch, root, writing.batch_id(RUN_AT))
+    return reading.read_enrichment(spark, root)
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -564,5 +598,6 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         find_party, latest_enrichment, claim_last_period, current_court_name, party_deposits,
         party_summary, party_period_summary, corpus_stats, claim_status, party_currency,
         party_search, raw_to_party_summary,
+        staging_round_trip, core_round_trip, enrichment_round_trip,
     )
 }
