@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fallowfunds.llm.common import held_out, passed, stored, whole
-from fallowfunds.llm.flat import Hasher, chunks, mix, runs
+from fallowfunds.llm.flat import Hasher, chunks, runs
 
 PRIOR = 500.0  # pseudo-documents the prior is worth
 LEAST_Z, LEAST_DOCS = 4.0, 4  # evidence a unit needs
@@ -126,22 +126,24 @@ def segments(place: list[int], score: list[float], cost: float) -> list[tuple[fl
 
     Only words with evidence are given; those between them cost ``cost`` each.
     """
-    kept: list[tuple[float, float, int, int]] = []  # (sum before, sum after, first, last)
+    # (sum before, sum after, first, last, place of the nearest one before it with a lesser sum before)
+    kept: list[tuple[float, float, int, int, int]] = []
     total, last = 0.0, None
     for at, value in zip(place, score, strict=True):
         total -= cost * (at - last - 1 if last is not None else 0)
         left, right, first = total, total + value, at
         total, last = right, at
+        j = len(kept) - 1
         while True:
-            j = len(kept) - 1
             while j >= 0 and kept[j][0] >= left:
-                j -= 1
+                j = kept[j][4]
             if j < 0 or kept[j][1] >= right:
                 break
-            left, first = kept[j][0], kept[j][2]
+            left, _, first, _, before = kept[j]
             del kept[j:]
-        kept.append((left, right, first, at))
-    return [(right - left, first, last) for left, right, first, last in kept]
+            j = before
+        kept.append((left, right, first, at, j))
+    return [(right - left, first, last) for left, right, first, last, _ in kept]
 
 
 def passages(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -163,8 +165,6 @@ def passages(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                         at = np.minimum(np.searchsorted(keys, unit), len(keys) - 1)
                         np.maximum(value, np.where(keys[at] == unit, odds[at], 0.0), out=value)
                 hit = np.flatnonzero(value > 0)
-                again = mix(units[0][hit] ^ mix(row[hit].astype(np.uint64)))  # a word tells once in a text
-                hit = hit[np.sort(np.unique(again, return_index=True)[1])]
                 begin = np.cumsum(count) - count
                 limits = np.searchsorted(hit, np.append(begin, len(row)))
                 for i in range(last - first):

@@ -105,6 +105,32 @@ def test_segments_against_brute_force():
             assert abs(s - sum(values[a : b + 1])) < 1e-9
 
 
+def insult_model():
+    """A model that knows the insults as whole words, worth 2 nats each."""
+    texts = np.frombuffer(" ".join(INSULTS).encode(), np.uint8)
+    keys = toxicity._units(texts, np.array([0, len(texts)]))[1][0]
+    return toxicity.Model(np.sort(keys), np.full(len(keys), 2.0), 1.0)
+
+
+@pytest.mark.parametrize("text,places", [
+    # each word once early, more than 2 / COST words apart, then all of them together
+    ([*[w for i in INSULTS for w in [i, *["calm"] * 30]], *INSULTS, *INSULTS], [(0, 0), (31, 31), (62, 62), (93, 93), (124, 131)]),
+    # two equal passages far from each other
+    ([*INSULTS, *["calm"] * 200, *INSULTS], [(0, 3), (204, 207)]),
+])
+def test_every_passage_is_found(documents, text, places):
+    (row,) = toxicity.passages(documents((1, " ".join(text))).select("doc_id", "text"), insult_model()).collect()
+    assert [(s.first_word, s.last_word) for s in row.found] == places
+    assert all(abs(s.score - 2.0 * (s.last_word - s.first_word + 1)) < 1e-9 for s in row.found)
+    assert abs(row.best - max(2.0 * (b - a + 1) for a, b in places)) < 1e-9
+
+
+def test_segments_take_linear_time():
+    """Words too far apart to join are not walked over again for each one that follows."""
+    n = 200_000
+    assert len(toxicity.segments(list(range(0, 50 * n, 50)), [1.0] * n, 0.1)) == n
+
+
 def test_attention_gradients():
     """The hand-written gradient lowers the loss and finds the passage that tells."""
     rng = np.random.default_rng(0)
