@@ -32,9 +32,9 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of each group of near duplicates."""
+    """One row, of the document with the smallest id, of each group of near duplicates."""
     small_batches(spark)
-    return near_dedup.near_duplicates(docs).filter("kept").select(*docs.columns)
+    return near_dedup.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fallowfunds.llm.common import passed, stored, whole
@@ -87,11 +87,11 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """(id, n, xor, sum, registers, bands) of every row (id, text); xor and sum tell equal sets."""
+    """(key, id, n, xor, sum, registers, bands) of every row (key, id, text); xor and sum tell equal sets."""
 
     def run(batches):
         for batch in batches:
-            for first, last, data, offsets in chunks(batch.column(1)):
+            for first, last, data, offsets in chunks(batch.column(2)):
                 hashed, at = distinct_shingles(data, offsets)
                 size = np.diff(at)
                 table = registers(hashed, at)
@@ -103,11 +103,11 @@ def sketch(docs: DataFrame) -> DataFrame:
                 bands = pa.ListArray.from_arrays(pa.array(np.arange(len(size) + 1, dtype=np.int32) * BANDS), pa.array(keys))
                 raw = pa.array([r.tobytes() for r in table], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, last - first), pa.array(size), pa.array(xor.view(np.int64)), pa.array(total.view(np.int64)), raw, bands],
-                    ["id", "n", "xor", "sum", "registers", "bands"],
+                    [batch.column(0).slice(first, last - first), batch.column(1).slice(first, last - first), pa.array(size), pa.array(xor.view(np.int64)), pa.array(total.view(np.int64)), raw, bands],
+                    ["key", "id", "n", "xor", "sum", "registers", "bands"],
                 )
 
-    return docs.mapInArrow(run, "id long, n long, xor long, sum long, registers binary, bands array<long>")
+    return docs.mapInArrow(run, "key binary, id long, n long, xor long, sum long, registers binary, bands array<long>")
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -314,47 +314,99 @@ def _merge(labels: DataFrame, found: DataFrame) -> DataFrame:
     return stored(old.unionByName(new.select("id", "comp")), "components")
 
 
-def _one_row_each(rows: DataFrame) -> DataFrame:
-    """Rows (id, text) with ids, the least text of each repeated id. Texts move only if ids repeat."""
-    rows = rows.filter("id IS NOT NULL")
-    twice = rows.groupBy("id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("id")
-    if twice.isEmpty():
-        return rows
-    least = rows.join(twice, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
-    return rows.join(twice, "id", "left_anti").unionByName(least)
+def _key(doc_id: str, text: str) -> Column:
+    """What tells rows apart: a hash of the id and the text."""
+    name = F.coalesce(F.col(f"`{doc_id}`").cast("long").cast("string"), F.lit("-"))
+    return F.unhex(F.md5(F.concat(name, F.lit(" "), whole(text)).cast("binary")))
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with ``n_shingles``, ``component_id`` and ``kept``.
+def _groups(rows: DataFrame, percent: int, by_id: bool) -> tuple[DataFrame, DataFrame]:
+    """((key, id, n, node, c) of all distinct rows (key, id, text), (node, comp) of linked nodes).
 
-    Words are what ASCII white space parts, A-Z in lower case; a text of fewer than five words is one
-    shingle. Two documents are linked if their sets' intersection is ``percent`` of the union or more;
-    ``component_id`` is the smallest id that links reach. NULL and empty texts have no shingles and no
-    links. Of rows that repeat an id the least text stands for the document, and all get its results.
-    Rows without an id are kept and not compared: their ``n_shingles`` and ``component_id`` are NULL.
+    Every row is sketched and compared. Rows of equal sets are one ``node``, NULL for those without
+    shingles; ``c`` is the number of equal rows. With ``by_id``, rows of one id are linked too.
     """
-    rows = _one_row_each(docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), whole(text).alias("text")))
     sketches = stored(sketch(rows), "sketches")
+    counted = stored(sketches.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1"), "repeated")
+    repeated = not counted.isEmpty()
+    if repeated:  # equal rows have equal sketches
+        sketches = stored(sketches.dropDuplicates(["key"]), "sketches")
     same = ["xor", "sum", "n"]
-    classes = sketches.filter("n > 0").groupBy(*same).agg(F.min("id").alias("rep"))
-    members = stored(sketches.select("id", *same).join(classes, same, "left").select("id", "n", "rep"), "members")
-    nodes = sketches.join(classes.select(F.col("rep").alias("id")), "id", "left_semi")
+    classes = sketches.filter("n > 0").groupBy(*same).agg(F.min("key").alias("key"))
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    members = sketches.select("key", "id", *same).join(classes.select(*same, "node"), same, "left").select("key", "id", "n", "node")
+    members = stored(members.join(counted, "key", "left").withColumn("c", F.coalesce("c", F.lit(1))), "members")
+    heads = classes.select("key", "node")
+    nodes = sketches.join(heads, "key").select(F.col("node").alias("id"), "n", "registers", "bands")
     spread = nodes.select("id", "n", F.explode("bands").alias("key"))
     full = spread.groupBy("key").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
     shared = stored(spread.join(full, "key"), "buckets")
     mass = shared.groupBy("id").agg(F.sum("c").alias("mass"))
     buckets = shared.join(mass, "id").select("key", "id", "n", "mass")
-    wanted = stored(mass.select("id"), "candidates")
+    wanted = stored(mass.select("id").join(heads.withColumnRenamed("node", "id"), "id"), "candidates")
     some = stored(nodes.select("id", "n", "registers").join(wanted, "id", "left_semi"), "registers")
-    texts = stored(rows.join(wanted, "id", "left_semi"), "texts")
-    labels = link(some, texts, buckets, percent).select(F.col("id").alias("rep"), "comp")
-    found = members.join(labels, "rep", "left").select(
-        F.col("id").alias("__id"), F.col("n").alias("__n"), F.coalesce("comp", "rep", "id").alias("__comp")
+    texts = rows.select("key", "text").join(wanted, "key").select("id", "text")
+    if repeated:
+        texts = texts.groupBy("id").agg(F.min("text").alias("text"))
+    labels = link(some, stored(texts, "texts"), buckets, percent)
+    if by_id:
+        one = members.filter("node IS NOT NULL").groupBy("id").agg(F.min("node").alias("b"), F.max("node").alias("top"))
+        ties = one.filter("b < top").select("id", "b")
+        if not ties.isEmpty():
+            labels = _merge(labels, members.join(ties, "id").filter("node <> b").select(F.col("node").alias("a"), "b"))
+    return members, labels.select(F.col("id").alias("node"), "comp")
+
+
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with ``n_shingles``, ``component_id`` and ``kept``.
+
+    Words are what ASCII white space parts, A-Z in lower case; a text of fewer than five words is one
+    shingle. Two documents are linked if their sets' intersection is ``percent`` of the union or more;
+    ``component_id`` is the smallest id that links reach. NULL and empty texts have no shingles and no
+    links. Rows that repeat an id are one document: each text is compared, and the links of any are
+    links of the id; ``n_shingles`` is the row's own, ``kept`` the id's. Rows without an id are kept
+    and have no results here: their ``n_shingles`` and ``component_id`` are NULL (:func:`keep_one`
+    compares them too).
+    """
+    rows = docs.select(_key(doc_id, text).alias("key"), F.col(f"`{doc_id}`").cast("long").alias("id"), whole(text).alias("text"))
+    members, labels = _groups(rows.filter("id IS NOT NULL"), percent, by_id=True)
+    named = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    low = named.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("low"))
+    named = stored(named.join(low, "comp", "left").select("key", "id", "n", "low"), "named")
+    twice = named.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.min("low").alias("id_low")).filter("rows > 1")
+    if not twice.isEmpty():  # an empty text goes with the others of its id
+        named = named.join(twice, "id", "left").withColumn("low", F.coalesce("low", "id_low"))
+    found = named.select(
+        F.col("key").alias("__found"), F.col("n").alias("__n"), F.coalesce("low", "id").alias("__comp"), F.col("id").alias("__id")
     )
-    joined = docs.join(found, F.col(f"`{doc_id}`").cast("long") == F.col("__id"), "left")
+    joined = docs.withColumn("__key", _key(doc_id, text)).join(found, F.col("__key") == F.col("__found"), "left")
     return joined.select(
         *passed(docs, "n_shingles", "component_id", "kept"),
         F.col("__n").alias("n_shingles"),
         F.col("__comp").alias("component_id"),
         F.coalesce(F.col("__comp") == F.col("__id"), F.lit(True)).alias("kept"),
     )
+
+
+def keep_one(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are left if one row of each group of near duplicates stays.
+
+    Rows are compared by their own texts, whatever their ids, with or without one. The row with the
+    smallest id stays, one without an id only if its whole group has none. Of rows equal in id and text
+    the least by the other columns stays, also if the text is empty.
+    """
+    rows = docs.select(_key(doc_id, text).alias("key"), F.col(f"`{doc_id}`").cast("long").alias("id"), whole(text).alias("text"))
+    members, labels = _groups(rows, percent, by_id=False)
+    named = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    heads = named.filter("comp IS NOT NULL").groupBy("comp").agg(
+        F.min(F.struct(F.col("id").isNull().alias("last"), "id", "key", "c")).alias("head")
+    ).select("head.key", "head.c")
+    heads = stored(heads.unionByName(named.filter("comp IS NULL").select("key", "c")), "heads")
+    left = docs.withColumn("__key", _key(doc_id, text)).join(
+        heads.select(F.col("key").alias("__head"), F.col("c").alias("__c")), F.col("__key") == F.col("__head")
+    )
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    if heads.filter("c > 1").isEmpty():
+        return left.select(*columns)
+    least = left.filter("__c > 1").groupBy("__key").agg(F.min(F.struct(*columns)).alias("__row")).select("__row.*")
+    return left.filter("__c = 1").select(*columns).unionByName(least)

@@ -90,6 +90,29 @@ def test_least_text_stands_for_a_repeated_id(documents):
     assert sorted((r.doc_id, r.component_id) for r in found.collect()) == [(1, 1), (2, 1), (2, 1)]
 
 
+def test_every_text_of_a_repeated_id_is_compared(documents):
+    found = nd.near_duplicates(documents((1, "c d"), (2, "a b"), (2, "c d e"), (2, "c d"), (3, "c d e"), (2, None)))
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found.collect()) == [
+        (1, 1, 1), (2, 0, 1), (2, 1, 1), (2, 1, 1), (2, 1, 1), (3, 1, 1)
+    ]
+
+
+def test_one_row_of_each_group_is_left(spark, documents):
+    """Rows without an id, of a repeated id, and repeated as a whole, as the pipeline takes them."""
+    import corpus_pipeline as cp
+
+    text, other = (" ".join(f"{c}{k}" for k in range(50)) for c in "wv")
+    docs = documents(
+        (3, text), (3, text, "b"), (9, text + " more"), (None, text), (4, "own"), (4, other), (5, other.upper()), (5, other.upper()),
+        (None, "alone"), (None, "alone"), (None, "ALONE"), (6, None), (6, ""), (7, ""),
+    )
+    left = cp.drop_near_duplicates(spark, docs, "")
+    assert left.columns == docs.columns
+    rows = sorted(((r.doc_id or -1, (r.text or "")[:5].lower(), r.source) for r in left.collect()))
+    assert rows == [(-1, "alone", "a"), (3, "w0 w1", "a"), (4, "own", "a"), (4, "v0 v1", "a"), (6, "", "a"), (7, "", "a")]
+    assert cp.drop_near_duplicates(spark, docs.limit(0), "").collect() == []
+
+
 def test_registers_merge_and_estimate():
     rng = np.random.default_rng(0)
     a = rng.integers(1, 2**63, 3000, dtype=np.uint64)
