@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fallowfunds.llm import (
+    bpe,
     chat_format,
     decontamination,
     fingerprints,
@@ -104,6 +105,19 @@ def op10_repeat_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
+    path = public_tokenizers.path(TOKENIZER)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    both = bpe.decode(bpe.encode(docs, path), path)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_near_dedup": op2_near_dedup,
@@ -115,6 +129,7 @@ QUERIES = {
     "op8_token_ids": op8_token_ids,
     "op9_source_mixing": op9_source_mixing,
     "op10_repeat_dedup": op10_repeat_dedup,
+    "op11_bpe_round_trip": op11_bpe_round_trip,
 }
 
 _ESCAPED = r"replace(replace(replace(replace({}, '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#'), '##', '#\#')"
