@@ -15,6 +15,7 @@ from fallowfunds.llm import (
     fingerprints,
     line_dedup,
     near_dedup,
+    phrases,
     quality,
     repeat_dedup,
     source_mixing,
@@ -118,6 +119,11 @@ def op11_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
+    return phrases.collocations(table(spark, sf, "documents").select("text", "lang"))
+
+
 QUERIES = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_near_dedup": op2_near_dedup,
@@ -130,6 +136,7 @@ QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_repeat_dedup": op10_repeat_dedup,
     "op11_bpe_round_trip": op11_bpe_round_trip,
+    "op13_collocations": op13_collocations,
 }
 
 _ESCAPED = r"replace(replace(replace(replace({}, '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#'), '##', '#\#')"
@@ -221,5 +228,30 @@ copies AS (
 SELECT doc_id, source, CAST(epoch AS INTEGER) AS epoch, n AS n_tokens, round(weight, 9) AS weight, block,
   md5('7:order:' || epoch || ':' || src || ':' || block) || md5('7:doc:' || epoch || ':' || id) AS order_key
 FROM (SELECT *, unnest(range(n_copies)) AS epoch FROM copies)
+""",
+    "op13_collocations": r"""
+WITH pieces AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+grams AS (
+  SELECT lang, m, array_to_string(w[s:s + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS s FROM pieces, (VALUES (1), (2), (3), (4)) sizes(m) WHERE len(w) >= m)),
+f AS MATERIALIZED (SELECT lang, m, phrase, count(*) AS f, string_split(phrase, ' ') AS w FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cuts AS (SELECT lang, m, phrase, w, f AS a, unnest(range(1, m)) AS k FROM f WHERE m > 1),
+scored AS (
+  SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (x.f + y.f) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON c.lang = x.lang AND array_to_string(c.w[1:k], ' ') = x.phrase
+  JOIN f y ON c.lang = y.lang AND array_to_string(c.w[k + 1:], ' ') = y.phrase
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[s:s + k - 1], ' ') AS phrase, max(f) AS f
+  FROM (SELECT lang, w, f, k, unnest(range(1, m - k + 2)) AS s FROM (SELECT *, unnest(range(2, m)) AS k FROM f WHERE m > 2))
+  GROUP BY ALL)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank, s.phrase, a, l, r, n, score
+FROM scored s JOIN total t ON s.lang = t.lang LEFT JOIN inside i ON s.lang = i.lang AND s.phrase = i.phrase
+WHERE i.phrase IS NULL OR CAST(100 AS HUGEINT) * i.f < CAST(80 AS HUGEINT) * a
+QUALIFY rank <= 2000
 """,
 }
