@@ -19,6 +19,7 @@ from fallowfunds.llm import (
     quality,
     repeat_dedup,
     source_mixing,
+    spelling,
     token_files,
     toxicity,
 )
@@ -119,6 +120,11 @@ def op11_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    small_batches(spark)
+    return spelling.variants(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op13_collocations(spark: SparkSession, sf: str) -> DataFrame:
     small_batches(spark)
     return phrases.collocations(table(spark, sf, "documents").select("text", "lang"))
@@ -136,6 +142,7 @@ QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_repeat_dedup": op10_repeat_dedup,
     "op11_bpe_round_trip": op11_bpe_round_trip,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_collocations": op13_collocations,
 }
 
