@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -171,7 +172,7 @@ def codec(path: str) -> Codec:
 
 def _lists(rows: list[list[int]]) -> pa.Array:
     ends = np.cumsum([0, *map(len, rows)])
-    flat = np.fromiter((i for row in rows for i in row), np.int32, int(ends[-1]))
+    flat = np.fromiter(chain.from_iterable(rows), np.int32, int(ends[-1]))
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
 
 
@@ -252,6 +253,10 @@ def decode(tokens: DataFrame, tokenizer: str, ids: str = "ids", out: str = "deco
     @F.arrow_udf("string")
     def texts(lists: pa.Array) -> pa.Array:
         back = codec(tokenizer).decode
-        return pa.array([None if row is None else back(row) for row in lists.to_pylist()], pa.string())
+        ends = lists.offsets.to_numpy()
+        flat = lists.values.to_numpy(zero_copy_only=False)[ends[0] : ends[-1]].tolist()
+        ends = (ends - ends[0]).tolist()
+        rows = [back(flat[a:b]) for a, b in zip(ends, ends[1:])]
+        return pa.array(rows, pa.string(), mask=lists.is_null().to_numpy(zero_copy_only=False))
 
     return tokens.select(*passed(tokens, out), texts(F.col(f"`{ids}`")).alias(out))
