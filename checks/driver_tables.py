@@ -44,6 +44,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def dealt(frame: DataFrame) -> DataFrame:
+    """Rows of a table that is one row group, dealt to all cores before they are made wide."""
+    return frame.repartition(frame.sparkSession.sparkContext.defaultParallelism)
+
+
 def published(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem with short names and the place of each row: key, period, sheet, source_row."""
     lines = table(spark, sf_dir, "lineitem").selectExpr(
@@ -82,7 +87,7 @@ def staging(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = published(spark, sf_dir)
+    rows = dealt(published(spark, sf_dir))
     base = F.expr("900000000 + p")
     values = {
         "capture_id": fn.hash_id(F.col("key")),
@@ -274,17 +279,20 @@ DATE_TEXT = """CASE s % 6
   ELSE if(p % 8 = 0, '2026-13-01', concat(iso, 'T10:20')) END"""
 
 
+PRINTED = (
+    "*",
+    "cast(cents div 100 AS string) AS whole",
+    "translate(format_number(cents div 100, 0), ',', '.') AS dots",
+    "format_number(cents div 100, 0) AS commas",
+    "lpad(cast(cents % 100 AS string), 2, '0') AS ff",
+    "date_format(d, 'yyyy-MM-dd') AS iso",
+    "concat(day(d), '/', month(d), '/', year(d)) AS dmy",
+)
+
+
 def printed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published rows with the pieces the text rules above are made of."""
-    return published(spark, sf_dir).selectExpr(
-        "*",
-        "cast(cents div 100 AS string) AS whole",
-        "translate(format_number(cents div 100, 0), ',', '.') AS dots",
-        "format_number(cents div 100, 0) AS commas",
-        "lpad(cast(cents % 100 AS string), 2, '0') AS ff",
-        "date_format(d, 'yyyy-MM-dd') AS iso",
-        "concat(day(d), '/', month(d), '/', year(d)) AS dmy",
-    )
+    return published(spark, sf_dir).selectExpr(*PRINTED)
 
 
 # What a published row can print; no sheet prints all of it.
@@ -293,7 +301,7 @@ RAW_FIELDS = (*CANONICAL_FIELDS, "source_extra_2", "remark")
 
 def raw_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each published row with ``by_field``, its cells in the order of RAW_FIELDS."""
-    rows = printed(spark, sf_dir)
+    rows = dealt(published(spark, sf_dir)).selectExpr(*PRINTED)
     base = F.expr("cast(900000000 + p AS string)")
     texts = {
         "deposit_no": F.expr(

@@ -7,6 +7,7 @@ cells are worked on in long form; newest rows are found by maximum and join.
 from __future__ import annotations
 
 from checks import driver_tables as d
+from fallowfunds import contracts
 from fallowfunds.mappings import PINNED
 
 AS_OF = "DATE '1999-06-30'"
@@ -611,6 +612,23 @@ LATEST = """latest AS (
 _ROW = "o, p, s, n, source_row"
 
 
+def _row_digests(tables: dict[contracts.Contract, str]) -> str:
+    """Table name and digest of every row of some core tables."""
+    parts = []
+    for contract, query in tables.items():
+        shown = ", ".join(
+            f"coalesce({_shown(f)}, '~')" for f in contract.fields
+        )
+        parts.append(f"SELECT '{contract.name}' AS \"table\", sha256(concat_ws('|', {shown})) AS row_sha256 FROM ({query})")
+    return " UNION ALL ".join(parts)
+
+
+def _shown(field: contracts.Field) -> str:
+    if field.type.typeName() == "timestamp_ntz":
+        return f"strftime({field.name}, '%Y-%m-%d %H:%M:%S')"
+    return f"CAST({field.name} AS VARCHAR)"
+
+
 def build() -> dict[str, str]:
     plaintiff_canonical = canonical("plaintiff_id")
     defendant_canonical = canonical("defendant_id")
@@ -718,6 +736,11 @@ def build() -> dict[str, str]:
         "rows_rejected, CAST(NULL AS VARCHAR) AS error FROM capture "
         f"JOIN (SELECT key, {sha('key')} AS id FROM keys) ON id = capture_id WHERE rows_read > 0",
     }
+    raw["reconciliation_total"] = (
+        "SELECT count(*) AS files, CAST(sum(rows_read) AS BIGINT) AS rows_read, "
+        "CAST(sum(rows_ok) AS BIGINT) AS rows_ok, CAST(sum(rows_rejected) AS BIGINT) AS rows_rejected, "
+        f"count(error) AS files_in_error FROM ({raw['reconciliation']})"
+    )
     lineage = {
         "build_files": f"WITH {PUB} SELECT {sha('key')} AS file_id, 'judicial_deposits' AS source, "
         "period, 's3://bucket/' || key AS uri, sha256(key || ':' || count(*)) AS content_hash, "
@@ -830,5 +853,28 @@ def build() -> dict[str, str]:
         "staging_round_trip": raw["normalize_ok"],
         "core_round_trip": identity["apply_classification"],
         "enrichment_round_trip": f"WITH {ENRICH} SELECT * FROM attempt",
+        "staging_versions": f"WITH {NORMAL}, seen AS (SELECT 1 AS version, period, amount_cop FROM ok "
+        "UNION ALL SELECT 3, period, amount_cop FROM ok WHERE period < '2023-1' "
+        "AND (CAST(period[1:4] AS INTEGER) % 2 = 1 OR source_row % 3 > 0)) "
+        "SELECT CAST(version AS BIGINT) AS version, period, count(*) AS n, "
+        "CAST(sum(amount_cop) AS BIGINT) AS total FROM seen GROUP BY version, period",
+        "core_tables_round_trip": _row_digests(
+            {
+                contracts.FILE: lineage["build_files"],
+                contracts.CAPTURE: lineage["build_captures"],
+                contracts.PARTY: identity["apply_classification"],
+                contracts.COURT: identity["build_courts"],
+                contracts.COURT_NAME: identity["build_court_names"],
+                contracts.CLAIM: lifecycle["build_claims"],
+                contracts.OBSERVATION: lifecycle["build_observations"],
+                contracts.CLAIM_PARTY: lifecycle["build_claim_parties"],
+            }
+        ),
+        "read_objects": "WITH line AS (SELECT year(o_orderdate) + 22 || '-' || "
+        "CASE WHEN month(o_orderdate) <= 6 THEN 1 ELSE 2 END AS period, left(o_orderpriority, 1) AS list, "
+        "o_orderkey || ',' || o_custkey || ',' || o_orderstatus AS value FROM orders), "
+        "object AS (SELECT period, list, string_agg(value || chr(10), '' ORDER BY value) AS content "
+        "FROM line GROUP BY period, list) SELECT 'raw/period=' || period || '/list=' || list AS folder, "
+        "strlen(content) AS length, sha256(content) AS content_hash FROM object",
     }
     return {**trips, **scalars, **sources, **raw, **lineage, **identity, **lifecycle, **enrichment, **search}

@@ -6,9 +6,11 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from checks import driver_tables as d
 from fallowfunds import contracts
@@ -23,7 +25,7 @@ from fallowfunds.operators import (
     search,
     sheets,
 )
-from fallowfunds.sources import reading, writing
+from fallowfunds.sources import builds, reading, writing
 from fallowfunds.sources.scratch import scratch_dir, staged, written
 
 AS_OF = dt.date(1999, 6, 30)
@@ -281,6 +283,10 @@ def reconciliation(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def reconciliation_total(spark: SparkSession, sf: str) -> DataFrame:
+    return normalize.reconciliation_total(reconciliation(spark, sf))
+
+
 # --- lineage ------------------------------------------------------------------------------
 
 
@@ -566,6 +572,77 @@ def core_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return reading.read_core(spark, root, contracts.PARTY)
 
 
+def core_tables_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """All eight core tables, each built twice under one root; a digest of every row read back."""
+    root, core = _root(spark), _core(spark, sf)
+    tables = {
+        contracts.FILE: core.files,
+        contracts.CAPTURE: core.captures,
+        contracts.PARTY: _stored_parties(spark, sf),
+        contracts.COURT: staged(spark, "court", sf, lambda: build_courts(spark, sf)),
+        contracts.COURT_NAME: core.court_names,
+        contracts.CLAIM: core.claims,
+        contracts.OBSERVATION: core.observations,
+        contracts.CLAIM_PARTY: core.claim_parties,
+    }
+    back = []
+    for contract, frame in tables.items():
+        for _ in range(2):
+            writing.write_core(frame, contract, root)
+        rows = reading.read_core(spark, root, contract)
+        shown = [
+            F.coalesce(
+                F.date_format(f.name, "yyyy-MM-dd HH:mm:ss") if isinstance(f.type, TimestampNTZType)
+                else F.col(f.name).cast("string"),
+                F.lit("~"),
+            )
+            for f in contract.fields
+        ]
+        back.append(rows.select(F.lit(contract.name).alias("table"), F.sha2(F.concat_ws("|", *shown), 256).alias("row_sha256")))
+    return reduce(DataFrame.unionByName, back)
+
+
+def staging_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Accepted rows per period after three publications: all captures, then the even years' without
+    their first sheet rows, then the last year's captures emptied; and after the first one alone."""
+    root, judged = _root(spark), _stored_normalized(spark, sf)
+    none = d.raw_errors(spark, sf).filter("false")
+    even = judged.filter("cast(left(period, 4) AS int) % 2 = 0")
+    writing.write_normalized(judged, none, root)
+    writing.write_normalized(
+        even.filter("source_row % 3 > 0"), none, root, even.select("key").distinct()
+    )
+    last = judged.filter("period >= '2023-1'")
+    writing.write_normalized(last.filter("false"), none, root, last.select("key").distinct())
+    counts = [
+        reading.read_staging(spark, root, builds.version(spark, root, number))
+        .groupBy("period").agg(F.count(F.lit(1)).alias("n"), F.sum("amount_cop").alias("total"))
+        .select(F.lit(number).cast("bigint").alias("version"), "period", "n", "total")
+        for number in (1, 3)
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+def read_objects(spark: SparkSession, sf: str) -> DataFrame:
+    """One object for each order day and priority, listed and hashed as raw publications are."""
+    root = _root(spark)
+    lines = d.table(spark, sf, "orders").selectExpr(
+        "concat(year(o_orderdate) + 22, '-', if(month(o_orderdate) <= 6, 1, 2)) AS period",
+        "left(o_orderpriority, 1) AS list",
+        "concat_ws(',', o_orderkey, o_custkey, o_orderstatus) AS value",
+    )
+    folders = ["period", "list"]
+    (
+        lines.repartition(*folders).sortWithinPartitions(*folders, "value")
+        .write.partitionBy(*folders).text(f"{root}/raw")
+    )
+    found = reading.read_objects(spark, f"{root}/raw", root)
+    # Spark names its files itself; its marker of success is a hidden, empty object.
+    return found.filter("content_hash IS NOT NULL").select(
+        F.regexp_extract("key", "(raw/.*)/", 1).alias("folder"), "length", "content_hash"
+    )
+
+
 def enrichment_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     """Every pending party's attempt, the batch appended twice under one id."""
     root = _root(spark)
@@ -587,7 +664,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         enrichment_union_by_name, contract_violations,
         detect_header_row, assemble_rows, profile_columns, profile_read_errors, schema_matrix,
         mapping_outcome, project_canonical, normalize_ok, normalize_rejects, sheet_rejects,
-        unreadable_rejects, reconciliation,
+        unreadable_rejects, reconciliation, reconciliation_total,
         build_files, build_captures, capture_status,
         resolve_document_numbers, build_parties, latest_classification, apply_classification,
         build_courts, build_court_names, identity_summary,
@@ -598,6 +675,7 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         find_party, latest_enrichment, claim_last_period, current_court_name, party_deposits,
         party_summary, party_period_summary, corpus_stats, claim_status, party_currency,
         party_search, raw_to_party_summary,
-        staging_round_trip, core_round_trip, enrichment_round_trip,
+        staging_round_trip, staging_versions, core_round_trip, core_tables_round_trip,
+        enrichment_round_trip, read_objects,
     )
 }

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -255,6 +257,25 @@ def violations(frame: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
+def observed(frame: DataFrame, contract: Contract) -> tuple[DataFrame, Callable[[], None]]:
+    """The frame with its rules counted by whatever job reads it to the end, and the check to call
+    after that job, which raises where rules are broken. Columns and types are checked at once."""
+    problems = schema_problems(frame, contract)
+    if problems:
+        raise ContractViolation(f"{contract.name}: " + "; ".join(problems))
+    rules = [rule for field in contract.fields for rule in field.rules()]
+    counts = Observation(f"{contract.name}-{uuid.uuid4().hex}")
+    watched = frame.observe(counts, *[F.count_if(broken).alias(rule) for rule, broken in rules])
+
+    def check() -> None:
+        found = counts.get
+        listed = "; ".join(f"{rule}: {found[rule]} row(s)" for rule in sorted(found) if found[rule])
+        if listed:
+            raise ContractViolation(f"{contract.name}: {listed}")
+
+    return watched, check
+
+
 def validate(frame: DataFrame, contract: Contract) -> DataFrame:
     """Return the frame when it keeps to the contract, raise otherwise."""
     problems = schema_problems(frame, contract)

@@ -14,10 +14,13 @@ from pyspark.sql import functions as F
 from fallowfunds import contracts as c
 from fallowfunds.mappings import pinned_mapping
 from fallowfunds.operators import enrichment, identity, lifecycle, lineage, normalize, search, sheets
-from fallowfunds.sources import reading, writing
+from fallowfunds.sources import builds, reading, writing
 from fallowfunds.sources.scratch import written
 
 
+LISTED = 20  # files that an error names
+
+
 class ReconciliationError(RuntimeError):
     """Rows read and rows kept do not add up."""
 
@@ -45,8 +48,8 @@ def normalize_publications(
 ) -> DataFrame:
     """Sheets to staging and rejects; fails if any file does not reconcile.
 
-    Rows are judged into a table of this run, checked and reconciled there, and only then take the
-    place of the captures' former rows. A failed run changes nothing that readers see. Returns the
+    Rows are judged into a build of their own, checked and reconciled there, and published only then,
+    without being written again. A failed run changes nothing that readers see. Returns the
     reconciliation per file; ``normalize.reconciliation_total`` sums it up.
     """
     rows = reading.read_raw_rows(spark, raw_rows)
@@ -55,17 +58,19 @@ def normalize_publications(
     normalized = normalize.normalize(
         rows, pinned_mapping(spark) if mapping is None else mapping, columns
     )
-    judged = written(spark, "judged", normalized)
+    build = writing.write_build(normalized, errors, root)
+    judged = builds.read(spark, root, build).withColumnRenamed("reason", "reject_reason")
     accepted = normalize.accepted(judged)
     c.validate(accepted, c.STAGING)
-    checked = normalize.reconcile(
-        rows, errors, accepted, normalize.rejected(judged, errors), columns
-    )
-    wrong = checked.filter("error IS NOT NULL").select("key", "error").orderBy("key").collect()
-    if wrong:
-        raise ReconciliationError("; ".join(f"{r['key']}: {r['error']}" for r in wrong))
+    checked = normalize.reconcile(rows, errors, accepted, normalize.rejected(judged), columns)
+    wrong = checked.filter("error IS NOT NULL").select("key", "error").orderBy("key")
+    first = wrong.limit(LISTED).collect()
+    if first:
+        said = "; ".join(f"{r['key']}: {r['error']}" for r in first)
+        more = wrong.count() - len(first)
+        raise ReconciliationError(f"{said}; and {more} more" if more else said)
     present = rows.select("key").unionByName(errors.select("key")).distinct()
-    writing.write_normalized(judged, errors, root, present)
+    builds.publish(spark, root, build, writing.captures_of(present))
     return checked
 
 
@@ -76,7 +81,8 @@ def build_lineage(
 
     Returns captures per status.
     """
-    staging, rejects = reading.read_staging(spark, root), reading.read_rejects(spark, root)
+    at = builds.version(spark, root)
+    staging, rejects = reading.read_staging(spark, root, at), reading.read_rejects(spark, root, at)
     captures = lineage.build_captures(
         objects.select("key"), staging, rejects, dt.datetime.now(dt.UTC).replace(tzinfo=None)
     )
