@@ -23,13 +23,33 @@ CLAIM_TYPE = "judicial_deposit"
 def claim_rows(
     staging: DataFrame, excluded_periods: Sequence[str] = EXCLUDED_PERIODS
 ) -> DataFrame:
-    """Staging rows that can carry a claim, with its id. Prunes period partitions."""
+    """Staging rows that can carry a claim, with its id. Prunes period partitions.
+
+    A stored :func:`claim_base` is taken as it is, so ids are made once for all that is built of them.
+    """
+    if "claim_id" in staging.columns:
+        return staging
     usable = staging.filter("deposit_no IS NOT NULL")
     if excluded_periods:
         usable = usable.filter(~F.col("period").isin(*excluded_periods))
     return usable.withColumn("claim_id", claim_id(F.col("court_account"), F.col("deposit_no")))
 
 
+# What claims, observations, links and persistence are made of.
+BASE = (
+    "claim_id", "capture_id", "sheet", "source_row", "period", "court_account", "deposit_no", "deposit_type",
+    "amount_cop", "origin_date", "classification", "source_extra", "plaintiff_id", "defendant_id", "court_name",
+)
+
+
+def claim_base(
+    staging: DataFrame, excluded_periods: Sequence[str] = EXCLUDED_PERIODS
+) -> DataFrame:
+    """The narrow table to store when several of the operators below follow: staging is then read, and
+    every claim id worked out, a single time."""
+    return claim_rows(staging, excluded_periods).select(*BASE)
+
+
 def build_claims(
     staging: DataFrame, excluded_periods: Sequence[str] = EXCLUDED_PERIODS
 ) -> DataFrame:

@@ -193,33 +193,43 @@ def profile_columns(rows: DataFrame, columns: DataFrame | None = None) -> DataFr
     side, keyed by value, so neither a long column nor a frequent value lands in one task.
     """
     columns = sheet_columns(rows) if columns is None else columns
-    data = data_rows(rows, columns)
-    heights = data.groupBy(*SHEET).agg(F.count(F.lit(1)).alias("height"))
-    kind = F.get("kinds", F.col("pos"))
+    # One pass: every row also has a cell that stands for the row itself, at a place of its own.
+    cells = F.concat(F.array(F.lit(None).cast("struct<kind:string,text:string>")), F.col("cells"))
+    kind = F.get("kinds", F.col("pos") - 1)
     value = F.when(
         kind == NUMBER, F.col("cell.text").try_cast("double").cast("string")
     ).otherwise(stringify_cell(F.col("cell.kind"), F.col("cell.text")))
-    values = (
-        data.select(*SHEET, "kinds", F.posexplode("cells").alias("pos", "cell"))
-        .filter("cell.text IS NOT NULL")
+    counts = (
+        data_rows(rows, columns)
+        .select(*SHEET, "kinds", F.posexplode(cells).alias("pos", "cell"))
+        .filter("pos = 0 OR cell.text IS NOT NULL")
         .select(*SHEET, "pos", value.alias("value"))
         .groupBy(*SHEET, "pos", "value")
         .agg(F.count(F.lit(1)).alias("n"))
         .groupBy(*SHEET, "pos")
         .agg(F.sum("n").alias("present"), F.count(F.lit(1)).alias("distinct"))
+        # As many entries as a sheet has columns.
+        .groupBy(*SHEET)
+        .agg(F.map_from_entries(F.collect_list(F.struct("pos", F.struct("present", "distinct")))).alias("at"))
     )
     dtype = F.lit(None).cast("string")
     for code, label in DTYPE_OF_KIND.items():
         dtype = F.when(F.col("c.kinds") == code, F.lit(label)).otherwise(dtype)
-    described = columns.select(
-        *SHEET, F.posexplode(F.arrays_zip("names", "kinds")).alias("pos", "c")
+    described = (
+        columns.join(counts, SHEET, "left")
+        .select(*SHEET, "at", F.posexplode(F.arrays_zip("names", "kinds")).alias("pos", "c"))
+        .withColumns(
+            {
+                "height": F.try_element_at("at", F.lit(0))["present"],
+                "present": F.try_element_at("at", F.col("pos") + 1)["present"],
+                "distinct": F.try_element_at("at", F.col("pos") + 1)["distinct"],
+            }
+        )
     )
     height = F.coalesce("height", F.lit(0).cast("bigint"))
     blank = height - F.coalesce("present", F.lit(0).cast("bigint"))
     return (
-        described.join(values, [*SHEET, "pos"], "left")
-        .join(heights, SHEET, "left")
-        .select(
+        described.select(
             F.col("key").alias("file"),
             "sheet",
             F.col("c.names").alias("column"),

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from fallowfunds import contracts as c
 from fallowfunds.mappings import pinned_mapping
 from fallowfunds.operators import enrichment, identity, lifecycle, lineage, normalize, search, sheets
-from fallowfunds.sources import builds, reading, writing
+from fallowfunds.sources import builds, lookup, reading, writing
 from fallowfunds.sources.scratch import written
 
 
@@ -108,14 +108,14 @@ def build_identity(spark: SparkSession, root: str) -> DataFrame:
 
 def build_lifecycle(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Claim, observation and claim_party tables. Returns totals and persistence."""
-    staging = reading.read_staging(spark, root)
-    writing.write_core(lifecycle.build_claims(staging), c.CLAIM, root)
-    writing.write_core(lifecycle.build_observations(staging), c.OBSERVATION, root)
-    writing.write_core(lifecycle.build_claim_parties(staging), c.CLAIM_PARTY, root)
+    base = written(spark, "claim_rows", lifecycle.claim_base(reading.read_staging(spark, root)))
+    writing.write_core(lifecycle.build_claims(base), c.CLAIM, root)
+    writing.write_core(lifecycle.build_observations(base), c.OBSERVATION, root)
+    writing.write_core(lifecycle.build_claim_parties(base), c.CLAIM_PARTY, root)
     totals = lifecycle.lifecycle_summary(
         *[reading.read_core(spark, root, t) for t in (c.CLAIM, c.OBSERVATION, c.CLAIM_PARTY)]
     )
-    return totals, lifecycle.measure_persistence(staging)
+    return totals, lifecycle.measure_persistence(base)
 
 
 def enrich_parties(
@@ -139,23 +139,31 @@ def enrich_parties(
 def core_deposits(
     spark: SparkSession, root: str, parties: DataFrame | None = None
 ) -> DataFrame:
-    """Deposits of all parties, or of the given ones only, from the core tables."""
-    return search.party_deposits(
-        *[
-            reading.read_core(spark, root, t)
-            for t in (c.CLAIM_PARTY, c.CLAIM, c.OBSERVATION, c.CAPTURE, c.FILE, c.COURT_NAME)
-        ],
-        parties=parties,
+    """Deposits of all parties, or of the given ones only, from the core tables.
+
+    For given parties the bridge is read first, then the claims and observations it names; what cannot
+    hold any of them is skipped by statistics and Bloom filters.
+    """
+    links, claims, observations = (
+        reading.read_core(spark, root, t) for t in (c.CLAIM_PARTY, c.CLAIM, c.OBSERVATION)
     )
+    if parties is not None:
+        links = written(spark, "links", lookup.narrowed(links, "party_id", parties))
+        wanted = links.select("claim_id")
+        claims = lookup.narrowed(claims, "claim_id", wanted)
+        observations = lookup.narrowed(observations, "claim_id", wanted)
+    rest = [reading.read_core(spark, root, t) for t in (c.CAPTURE, c.FILE, c.COURT_NAME)]
+    return search.party_deposits(links, claims, observations, *rest, parties=parties)
 
 
 def search_parties(
     spark: SparkSession, requests: DataFrame, windows: DataFrame, root: str, as_of: dt.date
 ) -> DataFrame:
     """Answer ``requests(raw_value)`` from the core tables; one row for each distinct request."""
-    matched = written(
-        spark, "matched", search.find_party(requests, reading.read_core(spark, root, c.PARTY))
+    parties = lookup.narrowed(
+        reading.read_core(spark, root, c.PARTY), "document_number", search.wanted_numbers(requests)
     )
+    matched = written(spark, "matched", search.find_party(requests, parties))
     wanted = matched.filter("party_id IS NOT NULL").select("party_id").distinct()
     return search.search_parties(
         matched,

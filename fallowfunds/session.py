@@ -8,6 +8,8 @@ from pyspark.sql import SparkSession
 # be larger than that is generated in small methods instead, several times as fast.
 SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Keys of a lookup are compared with statistics and Bloom filters one by one up to this many.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -6,7 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from fallowfunds import contracts as c
-from fallowfunds.sources import builds, objects, reading, writing
+from fallowfunds.operators import lifecycle
+from fallowfunds.plans import jobs
+from fallowfunds.session import tune
+from fallowfunds.sources import builds, lookup, objects, reading, writing
 
 LATER = dt.datetime(2999, 1, 1)
 
@@ -200,3 +203,58 @@ def test_a_digest_holds_one_block(spark):
     stream = Long()
     assert len(objects.digest(stream, 1 << 24)) == 64
     assert stream.left == 0 and stream.asked == 1 << 24
+
+
+def rows_read(frame):
+    """Rows that the scan of a frame's plan gave on, after skipping."""
+    execution = frame._jdf.queryExecution()
+    execution.toRdd().count()
+    leaves = execution.executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_lookups_skip_what_cannot_hold_their_keys(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(writing, "ROW_GROUP", 1 << 16)
+    tune(spark)
+    n = 200_000
+    parties = spark.range(n).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("party_id"), (F.col("id") + 900_000_000).cast("string").alias("document_number"),
+        *[F.lit(None).cast(f.type).alias(f.name) for f in c.PARTY.fields[2:]],
+    )
+    root = str(tmp_path)
+    writing.write_core(parties, c.PARTY, root)
+    stored = reading.read_core(spark, root, c.PARTY)
+    asked = spark.createDataFrame([(str(900_000_000 + i * 19_999),) for i in range(10)] + [("1",), (None,)], "n string")
+    found = lookup.narrowed(stored, "document_number", asked)
+    assert found.count() == 10
+    assert rows_read(lookup.narrowed(stored, "document_number", asked)) < n / 4
+    # Ids are in no order in the files, so only Bloom filters can tell.
+    ids = parties.join(asked.withColumnRenamed("n", "document_number"), "document_number").select("party_id")
+    assert rows_read(lookup.narrowed(stored, "party_id", ids.limit(1))) < n / 4
+    joined = lookup.narrowed(stored, "document_number", asked, at_once=3)
+    assert sorted(r["party_id"] for r in joined.collect()) == sorted(r["party_id"] for r in found.collect())
+    assert joined.columns == stored.columns
+
+
+def test_registry_numbers_of_any_length(spark, tmp_path):
+    long = "12345678901234567890123"
+    for name, rows, kind in (("text", [(long, None, None, None)], "string"), ("old", [(7, None, None, None)], "bigint")):
+        spark.createDataFrame(rows, f"nit {kind}, response string, detail string, error string").write.parquet(str(tmp_path / name))
+    assert reading.read_registry(spark, str(tmp_path / "text")).first()["nit"] == long
+    assert reading.read_registry(spark, str(tmp_path / "old")).first()["nit"] == "7"
+
+
+def test_claims_are_built_of_one_stored_table(spark, tmp_path):
+    root = str(tmp_path)
+    put(spark, root, ("a", "1"), ("b", "2"), ("c", "2"))
+    staging = reading.read_staging(spark, root)
+    base = lifecycle.claim_base(staging)
+    for build in (lifecycle.build_claims, lifecycle.build_observations, lifecycle.build_claim_parties, lifecycle.measure_persistence):
+        assert sorted(build(base).collect()) == sorted(build(staging).collect())
+    reads = []
+    real = reading.read_staging
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(reading, "read_staging", lambda *a: reads.append(1) or real(*a))
+        jobs.build_lifecycle(spark, root)
+    plan = reading.read_core(spark, root, c.CLAIM).count(), len(reads)
+    assert plan == (2, 1)
