@@ -520,7 +520,8 @@ _JSON_STRING = (
 )
 RAW_JSON = f"""raw_json AS (
   SELECT key, sheet, source_row, '{{' || string_agg({_JSON_STRING.format('column_name')} || ':' ||
-    coalesce({_JSON_STRING.format('text')}, 'null'), ',' ORDER BY pos) || '}}' AS raw_row
+    coalesce(CASE WHEN kind = 'number' THEN shown || CASE WHEN regexp_matches(shown, '^-?[0-9]{{1,16}}$') THEN '.0'
+      ELSE '' END ELSE {_JSON_STRING.format('text')} END, 'null'), ',' ORDER BY pos) || '}}' AS raw_row
   FROM cell GROUP BY key, sheet, source_row)"""
 
 ERRORS = f"""{WINDOWS},

@@ -22,6 +22,7 @@ from fallowfunds.functions.parsing import (
     id_from_cell,
     period_from_key,
     number_repr,
+    number_text,
     python_repr,
     stringify_cell,
 )
@@ -59,6 +60,8 @@ RAW_KEPT = (*ID_FIELDS, *AMOUNT_FIELDS, *DATE_FIELDS)
 # Why a row is rejected whose sheet has cells but no columns: its column table is out of date.
 NO_COLUMNS = "no columns known for sheet="
 
+JSON_NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][-+]?[0-9]+)?$"
+
 MAPPED = "mapped"
 SKIPPED = "skipped"
 UNMAPPED = "unmapped"
@@ -147,6 +150,7 @@ def _picked(rows: DataFrame, mapping: DataFrame, columns: DataFrame | None) -> D
         "period",
         "source_row",
         names.alias("names"),
+        F.coalesce("kinds", F.array().cast("array<string>")).alias("kinds"),
         "cells",
         reason.alias("sheet_reason"),
         "field_kinds",
@@ -176,6 +180,28 @@ def project_canonical(
     )
 
 
+def _json_text(text: Column) -> Column:
+    json = F.to_json(F.struct(text.alias("v")))
+    return F.substring(json, F.lit(6), F.length(json) - 6)
+
+
+def row_json(names: Column, kinds: Column, cells: Column) -> Column:
+    """A sheet row as a JSON object in the order of its columns. Cells of number columns are numbers,
+    whole ones with ``.0``; blanks are null; all else is text."""
+
+    def member(name: Column, i: Column) -> Column:
+        text = F.get(cells, i)["text"]
+        number = number_repr(number_text(text))
+        value = (
+            F.when(text.isNull(), "null")
+            .when((F.get(kinds, i) == NUMBER) & number.rlike(JSON_NUMBER), number)
+            .otherwise(_json_text(text))
+        )
+        return F.concat(_json_text(name), F.lit(":"), value)
+
+    return F.concat(F.lit("{"), F.array_join(F.transform(names, member), ","), F.lit("}"))
+
+
 def normalize(
     rows: DataFrame, mapping: DataFrame, columns: DataFrame | None = None
 ) -> DataFrame:
@@ -229,14 +255,7 @@ def normalize(
         "sheet_reason",
         F.concat(F.lit("could not parse "), "bad_field", F.lit(" from "), shown),
     )
-    original = F.to_json(
-        F.map_from_arrays(
-            "names",
-            F.transform(
-                "names", lambda _, i: F.get("cells", i)["text"]
-            ),
-        )
-    )
+    original = row_json(F.col("names"), F.col("kinds"), F.col("cells"))
     fields = {f: _value(f) for f in CANONICAL_FIELDS}
     fields |= {f"{f}_raw": _value(f) for f in RAW_KEPT}
     fields |= {f: F.col(f) for f in (*AMOUNT_FIELDS, *DATE_FIELDS)}

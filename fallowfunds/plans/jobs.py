@@ -7,8 +7,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fallowfunds import contracts as c
@@ -58,7 +59,8 @@ def normalize_publications(
     normalized = normalize.normalize(
         rows, pinned_mapping(spark) if mapping is None else mapping, columns
     )
-    build = writing.write_build(normalized, errors, root)
+    counts = Observation(f"build-{uuid.uuid4().hex}")
+    build = writing.write_build(normalized, errors, root, counts)
     judged = builds.read(spark, root, build).withColumnRenamed("reason", "reject_reason")
     accepted = normalize.accepted(judged)
     c.validate(accepted, c.STAGING)
@@ -69,6 +71,11 @@ def normalize_publications(
         said = "; ".join(f"{r['key']}: {r['error']}" for r in first)
         more = wrong.count() - len(first)
         raise ReconciliationError(f"{said}; and {more} more" if more else said)
+    # A third count, of what the writing job put into files, against what is read back from them.
+    total = normalize.reconciliation_total(checked).first()
+    for name, n in counts.get.items():
+        if n != total[name]:
+            raise ReconciliationError(f"{name}: {n} written, {total[name]} read back")
     present = rows.select("key").unionByName(errors.select("key")).distinct()
     builds.publish(spark, root, build, writing.captures_of(present))
     return checked

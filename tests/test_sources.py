@@ -3,10 +3,11 @@ import hashlib
 import io
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from fallowfunds import contracts as c
-from fallowfunds.operators import lifecycle
+from fallowfunds.operators import lifecycle, normalize
 from fallowfunds.plans import jobs
 from fallowfunds.session import tune
 from fallowfunds.sources import builds, lookup, objects, reading, writing
@@ -258,3 +259,20 @@ def test_claims_are_built_of_one_stored_table(spark, tmp_path):
         jobs.build_lifecycle(spark, root)
     plan = reading.read_core(spark, root, c.CLAIM).count(), len(reads)
     assert plan == (2, 1)
+
+
+def test_rejects_keep_numbers_as_numbers(spark):
+    names = spark.createDataFrame(
+        [(["a \"q\"", "n", "m", "x", "e", "t"], ["text", "number", "number", "text", "number", "number"],
+          [("text", "é\n"), ("number", "12.0"), ("number", "-1.25"), None, ("number", "5.8092044001E10"), ("number", "n/a")])],
+        "names array<string>, kinds array<string>, cells array<struct<kind:string,text:string>>",
+    )
+    json = names.select(normalize.row_json(F.col("names"), F.col("kinds"), F.col("cells"))).first()[0]
+    assert json == '{"a \\"q\\"":"é\\n","n":12.0,"m":-1.25,"x":null,"e":58092044001.0,"t":"n/a"}'
+
+
+def test_written_rows_are_counted_apart(spark, tmp_path, monkeypatch):
+    """Files that lose rows between writing and reading fail the run, though both sides agree on keys."""
+    counts = Observation()
+    builds.write(judged(spark, ("a", "1"), ("b", "2")).withColumn("accepted", F.col("capture_id") == "a"), str(tmp_path), counts)
+    assert counts.get == {"rows_ok": 1, "rows_rejected": 1}
