@@ -22,7 +22,7 @@ FILE_SCHEMA = "doc_id long, shard int, local_start long, n_tokens long, ids arra
 BLOOM_FALSE_POSITIVES = 0.01
 STRIPE = 16 << 20  # bytes of a stripe, the unit of parallel reads; a writer holds one in memory
 ROWS_PER_INDEX = 1000  # rows between two entries of a stripe's row index
-CACHED = 800_000  # pieces a worker remembers before it starts anew
+CACHED = 800_000  # pieces a worker remembers before it forgets the rarer ones
 AT_ONCE = 4_000  # pieces given to the tokenizer in one call
 
 # Classes of bytes for cutting a text where the tokenizer's pattern cuts it in any case.
@@ -82,27 +82,76 @@ class PieceEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._forget()
-
-    def _forget(self) -> None:
+        vocabulary = self.tokenizer.get_vocab()
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)  # a byte-level token's letters are its bytes
+        self.bytes[list(vocabulary.values())] = list(map(len, vocabulary))
         self.keys = np.zeros(0, np.uint64)
         self.slot = np.zeros(0, np.int64)
         self.first = np.zeros(0, np.int64)
         self.size = np.zeros(0, np.int64)
+        self.seen = np.zeros(0, np.int64)
         self.pool = np.zeros(0, np.int32)
 
-    def _learn(self, keys: np.ndarray, raw: bytes, start: np.ndarray, end: np.ndarray) -> None:
-        sizes, flats = [], []
-        for i in range(0, len(keys), AT_ONCE):  # an encoding takes far more memory than its ids
-            pieces = [raw[a:b].decode() for a, b in zip(start[i : i + AT_ONCE], end[i : i + AT_ONCE], strict=True)]
+    def _forget(self) -> None:
+        """Keep the half of the pieces that came up most often; those seen once go in any case."""
+        seen = self.seen[self.slot]
+        kept = np.sort(np.argsort(-seen, kind="stable")[: CACHED // 2])
+        kept = kept[seen[kept] > 1]
+        slot = self.slot[kept]
+        size, first = self.size[slot], self.first[slot]
+        begin = np.cumsum(size) - size
+        self.pool = self.pool[np.arange(int(size.sum())) + np.repeat(first - begin, size)]
+        self.keys, self.slot = self.keys[kept], np.arange(len(kept))
+        self.first, self.size, self.seen = begin, size, np.ones(len(kept), np.int64)
+
+    def _tokens(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many of them each piece has) of distinct pieces.
+
+        Pieces that begin with a blank and a visible character and end visibly are encoded in a row:
+        between two of them every pattern begins anew. Other pieces are encoded one by one.
+        """
+        kind, lead = _CLASS[data], data == 0xC3
+        visible = (kind == LETTER) | (kind == MARK) | (kind == QUOTE) | ((data >= 48) & (data <= 57))
+        tail = np.append(False, lead[:-1]) & (data != 0x97) & (data != 0xB7)
+        second = np.minimum(start + 1, len(data) - 1)
+        after = np.minimum(start + 2, len(data) - 1)
+        begins = visible[second] | (lead[second] & tail[after] & (end > start + 2))
+        plain = (kind[start] == BLANK) & (end > start + 1) & begins & (visible | tail)[end - 1]
+        size = np.zeros(len(start), np.int64)
+        flats, order = [], []
+        raw = data.tobytes()
+        own = np.flatnonzero(plain)
+        for i in range(0, len(own), AT_ONCE):
+            some = own[i : i + AT_ONCE]
+            text = b"".join([raw[a:b] for a, b in zip(start[some].tolist(), end[some].tolist(), strict=True)])
+            (found,) = self.tokenizer.encode_batch_fast([text.decode()], add_special_tokens=False)
+            ids = np.array(found.ids, np.int32)
+            upto = np.searchsorted(np.cumsum(self.bytes[ids]), np.cumsum(end[some] - start[some])) + 1
+            size[some] = np.diff(upto, prepend=0)
+            flats.append(ids)
+            order.append(some)
+        own = np.flatnonzero(~plain)
+        for i in range(0, len(own), AT_ONCE):  # an encoding takes far more memory than its ids
+            some = own[i : i + AT_ONCE]
+            pieces = [raw[a:b].decode() for a, b in zip(start[some].tolist(), end[some].tolist(), strict=True)]
             found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-            flats.append(np.fromiter(chain.from_iterable(found), np.int32, int(sizes[-1].sum())))
-        size = np.concatenate(sizes)
+            size[some] = list(map(len, found))
+            flats.append(np.fromiter(chain.from_iterable(found), np.int32, int(size[some].sum())))
+            order.append(some)
+        # Back into the order of the pieces.
+        order, flat = np.concatenate(order), np.concatenate(flats)
+        begin = np.empty(len(start), np.int64)
+        begin[order] = np.cumsum(size[order]) - size[order]
+        total = np.cumsum(size)
+        return flat[np.arange(total[-1]) + np.repeat(begin - (total - size), size)], size
+
+    def _learn(self, keys: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        ids, size = self._tokens(data, start, end)
         first = len(self.pool) + np.cumsum(size) - size
         slot = np.arange(len(self.first), len(self.first) + len(keys))
-        self.pool = np.concatenate([self.pool, *flats])
+        self.pool = np.concatenate([self.pool, ids])
         self.first, self.size = np.concatenate([self.first, first]), np.concatenate([self.size, size])
+        self.seen = np.concatenate([self.seen, np.zeros(len(keys), np.int64)])
         at = np.searchsorted(self.keys, keys)
         self.keys, self.slot = np.insert(self.keys, at, keys), np.insert(self.slot, at, slot)
 
@@ -120,8 +169,10 @@ class PieceEncoder:
         if len(self.keys):
             new = self.keys[np.minimum(at, len(self.keys) - 1)] != keys
         if new.any():
-            self._learn(keys[new], data.tobytes(), start[where[new]], end[where[new]])
-        slot = self.slot[np.searchsorted(self.keys, keys)][which]
+            self._learn(keys[new], data, start[where[new]], end[where[new]])
+        found = self.slot[np.searchsorted(self.keys, keys)]
+        self.seen[found] += 1
+        slot = found[which]
         size, first = self.size[slot], self.first[slot]
         total = np.concatenate([[0], np.cumsum(size)])
         take = np.arange(total[-1]) + np.repeat(first - total[:-1], size)
