@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fallowfunds.llm.flat import mix
@@ -71,3 +71,14 @@ def broadcast(hashed: DataFrame, most: int) -> Broadcast:
             own = shard == s
             words[word[own]] = mask[own].view(np.uint64)
     return spark.sparkContext.broadcast(filters)
+
+
+def may_hold(hashes: Column, filters: Broadcast, shard: int = 0) -> Column:
+    """Whether a filter holds a column of 64-bit hashes. Only the hashes go to Python."""
+
+    @F.arrow_udf("boolean")
+    def found(column: pa.Array) -> pa.Array:
+        words = filters.value.get(shard, np.zeros(0, np.uint64))
+        return pa.array(holds(words, column.to_numpy(zero_copy_only=False).astype(np.uint64)))
+
+    return found(hashes)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import string
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +39,22 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def released(run: Callable) -> Callable:
+    """A task's function that gives freed memory back to the system when it ends. Python workers stay
+    for later tasks, and several of them in an executor would each keep the size of their largest moment."""
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+            if trim is not None:
+                trim(0)
+
+    return task
+
+
 def whole(text: str | Column) -> Column:
     """The text, empty where it is NULL."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

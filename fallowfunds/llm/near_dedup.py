@@ -13,10 +13,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fallowfunds.llm.common import passed, stored, whole
+from fallowfunds.llm import bloom
+from fallowfunds.llm.common import passed, released, stored, whole
 from fallowfunds.llm.components import components
 from fallowfunds.llm.flat import Hasher, buffers, chunks, mix, shingles, words
 
@@ -28,6 +30,7 @@ REGISTERS = BANDS * ROWS
 SLACK = 0.2  # over five standard deviations of the estimate at 0.8
 BLOCK = 64  # values drawn at once for the few elements that need many
 PIVOTS = 8  # of a bucket, in the second round
+FILTER_BYTES = 16 << 20  # of a Bloom filter of rows whose texts are needed; a fuller one lets more through
 GROUP = 512  # members compared with one copy of a pivot, or held as one block
 
 
@@ -107,7 +110,7 @@ def sketch(docs: DataFrame) -> DataFrame:
                     ["key", "id", "n", "xor", "sum", "registers", "bands"],
                 )
 
-    return docs.mapInArrow(run, "key binary, id long, n long, xor long, sum long, registers binary, bands array<long>")
+    return docs.mapInArrow(released(run), "key binary, id long, n long, xor long, sum long, registers binary, bands array<long>")
 
 
 def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -124,7 +127,7 @@ def likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             near = estimate(view(4), view(5), batch.column(2).to_numpy().astype(float), batch.column(3).to_numpy().astype(float))
             yield batch.select(["a", "b"]).filter(pa.array(near >= floor))
 
-    return both.mapInArrow(run, "a long, b long")
+    return both.mapInArrow(released(run), "a long, b long")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -166,7 +169,7 @@ def verify(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
                 [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"]
             )
 
-    return together.mapInArrow(run, "a long, b long")
+    return together.mapInArrow(released(run), "a long, b long")
 
 
 def _open_buckets(active: DataFrame, labels: DataFrame) -> DataFrame:
@@ -174,10 +177,10 @@ def _open_buckets(active: DataFrame, labels: DataFrame) -> DataFrame:
     named = active.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     still = named.groupBy("key").agg(
         F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("members"),
-        F.max(F.struct("mass", "id")).alias("first"), F.sum(F.xxhash64("id") / F.lit(2.0**32)).alias("sum"),
+        F.max(F.struct("mass", "id")).alias("first"), F.bit_xor(F.xxhash64("id")).alias("xor"), F.sum(F.xxhash64("id").bitwiseAND(F.lit(0xFFFFFFFF))).alias("sum"),
     ).filter("low < high")
-    # Bands that gather the same members are one bucket.
-    one = still.groupBy("members", "low", "high", "first", F.round("sum", 3).alias("s")).agg(F.min("key").alias("key"))
+    # Bands that gather the same members are one bucket: whole numbers, so the order of rows does not matter.
+    one = still.groupBy("members", "low", "high", "first", "xor", "sum").agg(F.min("key").alias("key"))
     return named.join(one.select("key", "members", "first"), "key")
 
 
@@ -293,7 +296,7 @@ def compare_blocks(members: DataFrame, texts: DataFrame, percent: int) -> DataFr
         if held:
             yield links(held)
 
-    return laid.mapInArrow(run, "a long, b long")
+    return laid.mapInArrow(released(run), "a long, b long")
 
 
 def _merge(labels: DataFrame, found: DataFrame) -> DataFrame:
@@ -320,6 +323,15 @@ def _key(doc_id: str, text: str) -> Column:
     return F.unhex(F.md5(F.concat(name, F.lit(" "), whole(text)).cast("binary")))
 
 
+def _filter(keys: DataFrame) -> Broadcast:
+    return bloom.broadcast(keys.select(F.lit(0).alias("shard"), F.xxhash64("key").alias("hash")), FILTER_BYTES)
+
+
+def _sifted(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows whose key may be among ``keys``: the others' texts are not sent to a join."""
+    return rows.filter(bloom.may_hold(F.xxhash64("key"), _filter(keys)))
+
+
 def _groups(rows: DataFrame, percent: int, by_id: bool) -> tuple[DataFrame, DataFrame]:
     """((key, id, n, node, c) of all distinct rows (key, id, text), (node, comp) of linked nodes).
 
@@ -345,7 +357,7 @@ def _groups(rows: DataFrame, percent: int, by_id: bool) -> tuple[DataFrame, Data
     buckets = shared.join(mass, "id").select("key", "id", "n", "mass")
     wanted = stored(mass.select("id").join(heads.withColumnRenamed("node", "id"), "id"), "candidates")
     some = stored(nodes.select("id", "n", "registers").join(wanted, "id", "left_semi"), "registers")
-    texts = rows.select("key", "text").join(wanted, "key").select("id", "text")
+    texts = _sifted(rows.select("key", "text"), wanted).join(wanted, "key").select("id", "text")
     if repeated:
         texts = texts.groupBy("id").agg(F.min("text").alias("text"))
     labels = link(some, stored(texts, "texts"), buckets, percent)
@@ -402,11 +414,18 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", te
         F.min(F.struct(F.col("id").isNull().alias("last"), "id", "key", "c")).alias("head")
     ).select("head.key", "head.c")
     heads = stored(heads.unionByName(named.filter("comp IS NULL").select("key", "c")), "heads")
-    left = docs.withColumn("__key", _key(doc_id, text)).join(
-        heads.select(F.col("key").alias("__head"), F.col("c").alias("__c")), F.col("__key") == F.col("__head")
-    )
+    # Rows that go and rows with an equal are looked for; all others stay where they are.
+    gone = members.select("key").join(heads, "key", "left_anti").withColumn("c", F.lit(0).cast("long"))
+    odd = stored(gone.unionByName(heads.filter("c > 1")), "odd")
     columns = [F.col(f"`{c}`") for c in docs.columns]
+    named = docs.select(F.struct(*columns).alias("row"), _key(doc_id, text).alias("key"))
+    known = _filter(odd)
+    clear = named.filter(~bloom.may_hold(F.xxhash64("key"), known)).select("row")
+    doubtful = named.filter(bloom.may_hold(F.xxhash64("key"), known)).join(
+        odd.select("key", "c"), "key", "left"
+    )
+    alone = doubtful.filter("c IS NULL").select("row")
     if heads.filter("c > 1").isEmpty():
-        return left.select(*columns)
-    least = left.filter("__c > 1").groupBy("__key").agg(F.min(F.struct(*columns)).alias("__row")).select("__row.*")
-    return left.filter("__c = 1").select(*columns).unionByName(least)
+        return clear.unionByName(alone).select("row.*")
+    least = doubtful.filter("c > 1").groupBy("key").agg(F.min("row").alias("row")).select("row")
+    return clear.unionByName(alone).unionByName(least).select("row.*")

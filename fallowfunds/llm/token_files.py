@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fallowfunds.llm.common import whole
+from fallowfunds.llm.common import released, whole
 from fallowfunds.llm.flat import Hasher, chunks
 
 FILE_SCHEMA = "doc_id long, shard int, local_start long, n_tokens long, ids array<int>"
@@ -233,7 +233,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, text: str = "text") ->
         .repartitionByRange("doc_id")
         .sortWithinPartitions("doc_id", "text")
     )
-    return ordered.mapInArrow(run, FILE_SCHEMA)
+    return ordered.mapInArrow(released(run), FILE_SCHEMA)
 
 
 def write(tokens: DataFrame, path: str) -> None:
@@ -277,5 +277,5 @@ def checksums(tokens: DataFrame) -> DataFrame:
             )
 
     return tokens.select("doc_id", "start", "n_tokens", "ids").mapInArrow(
-        run, "doc_id long, start long, n_tokens long, ids_crc32 long"
+        released(run), "doc_id long, start long, n_tokens long, ids_crc32 long"
     )
