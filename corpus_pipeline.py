@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fallowfunds.llm import (
     decontamination,
@@ -24,11 +25,25 @@ from fallowfunds.llm.common import small_batches, stored, table
 ORACLE_SQL = None
 
 
+def _carried(docs: DataFrame, *used: str) -> DataFrame:
+    """The used columns, and all others in one, under names that no operator knows."""
+    others = [c for c in docs.columns if c not in used]
+    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)], F.lit(0).alias("end"))
+    return docs.select(*used, row.alias("carried"))
+
+
+def _restored(found: DataFrame, docs: DataFrame, *used: str) -> DataFrame:
+    """The columns of ``docs`` again, with the caller's values whatever their names."""
+    others = [c for c in docs.columns if c not in used]
+    return found.select(*[c if c in used else F.col("carried")[f"c{others.index(c)}"].alias(c) for c in docs.columns])
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     small_batches(spark)
-    judged = quality.classify(docs, table(spark, sf_dir, "labels").select("doc_id", "quality"))
-    return judged.filter("predicted = 1").select(*docs.columns)
+    used = ("doc_id", "text")
+    judged = quality.classify(_carried(docs, *used), table(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return _restored(judged.filter("predicted = 1"), docs, *used)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,13 +54,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.filter("NOT contaminated").select(*docs.columns)
+    used = ("doc_id", "text")
+    found = decontamination.contamination(_carried(docs, *used), table(spark, sf_dir, "benchmark"))
+    return _restored(found.filter("NOT contaminated"), docs, *used)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document once, those of small sources up to about twice."""
-    return source_mixing.mix(docs).select(*docs.columns)
+    used = ("doc_id", "source", "text")
+    return _restored(source_mixing.mix(_carried(docs, *used)), docs, *used)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
