@@ -1,4 +1,6 @@
 import corpus_pipeline as cp
+from pyspark.sql import functions as F
+
 from .test_near_dedup import brute as near_brute
 from .test_decontamination import brute as leak_brute
 from .test_token_files import want
@@ -38,3 +40,25 @@ def test_stages_against_brute_force(spark):
         names.append(name)
     assert len(names) == 5
     assert cp.run(spark, SF).count() == docs.count()
+
+
+def test_callers_columns_come_back_as_they_were(spark):
+    """Names that operators use for their own results, names to be quoted, NULLs and repeated rows."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    extra = ["score", "n_words", "block", "row", "key", "carried", "__text", "__key", "__row", "a.b", "a b", "a:b"]
+    docs = docs.withColumns({c: F.concat_ws("/", F.lit(c), "doc_id") for c in extra})
+    docs = docs.unionByName(docs.limit(2)).unionByName(
+        docs.limit(2).withColumns({"text": F.lit(None).cast("string"), "source": F.lit(None).cast("string")})
+    )
+    docs = cp.stored(docs, "test")
+    for _, stage in cp.STAGES[:-1]:
+        out = cp.stored(stage(spark, docs, SF), "test")
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows
+        for r in rows:
+            assert [r[c] for c in extra] == [f"{c}/{r['doc_id']}" for c in extra]
+    assert cp.write_tokens(spark, docs, SF).count() == 64
+    none = docs.limit(0)
+    for _, stage in cp.STAGES:
+        assert stage(spark, none, SF).collect() == []
