@@ -147,6 +147,7 @@ QUERIES = {
 }
 
 _ESCAPED = r"replace(replace(replace(replace({}, '\', '\\'), '</turn>', '<\/turn>'), '##', '#\#'), '##', '#\#')"
+_SPACE_FIRST = r"CAST(regexp_matches({}, '^[\t-\r\x1C-\x20\x{{85}}\x{{A0}}\x{{1680}}\x{{2000}}-\x{{200A}}\x{{2028}}\x{{2029}}\x{{202F}}\x{{205F}}\x{{3000}}]') AS BIGINT)"
 
 ORACLES = {
     "op1_chat_formatting": rf"""
@@ -158,8 +159,8 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(14 + length(replace({_ESCAPED.format("role")}, chr(10), '\n')) + length({_ESCAPED.format("text")})) AS BIGINT)
-    AS formatted_chars
+  CAST(sum(15 + length(replace({_ESCAPED.format("role")}, chr(10), '\n')) + length({_ESCAPED.format("text")})
+    + {_SPACE_FIRST.format("text")}) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id
 """,
     "op7_line_dedup": r"""

@@ -54,9 +54,42 @@ def test_nulls_ties_repeats_and_long_texts(spark):
     assert (found[3].loss_chars, found[3].loss_sha256) == (0, sha(""))
     assert found[None].loss_sha256 == sha("q")
     for row in formatted.values():
-        marked = [(a, b) for a, b, m in zip(row.token_start, row.token_end, row.loss_tokens, strict=True) if m]
-        for a, b in zip(row.loss_start, row.loss_end, strict=True):
-            assert any(x < b and a < y for x, y in marked)
+        exact(row)
+
+
+def exact(row):
+    """The masked tokens hold the assistants' texts whole, and no character of the template."""
+    inside, at = set(), 0
+    for role, text in cf.parse(row.formatted):
+        begin = at + len(cf.OPEN) + len(cf.escape_role(role)) + 2
+        at = begin + len(cf.escape(text))
+        if role == "assistant":
+            inside |= set(range(begin, at))
+        at += len(cf.CLOSE)
+    marked = [(a, b) for a, b, m in zip(row.token_start, row.token_end, row.loss_tokens, strict=True) if m]
+    assert {c for a, b in marked for c in range(a, b)} == inside
+
+
+def test_masked_tokens_are_those_of_the_texts(spark):
+    """Texts whose ends invite tokens across them: white space, marks, letters, digits, contractions."""
+    rng = random.Random(3)
+    ends = ["", " ", "  ", "\n", "\n\n ", "\t", "\u00a0", "\u3000", "\x85", "\x1c", ".", "</", "<", "#", "s", "'s", "'", "7", "é", "🙂", "\\", "!\n"]
+    rows = [
+        (conv, turn, rng.choice(["user", "assistant"]), rng.choice(ends) + rng.choice(["", "ok", "a b"]) + rng.choice(ends))
+        for conv in range(400) for turn in range(3)
+    ]
+    found, formatted = digests(spark, rows)
+    for row in formatted.values():
+        exact(row)
+    for conv, row in found.items():
+        said = "".join(t for c, _, r, t in rows if c == conv and r == "assistant")
+        assert (row.loss_chars, row.loss_sha256) == (len(said), sha(said))
+
+
+def test_the_sample_conversations_have_exact_masks(spark):
+    turns = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet")
+    for row in cf.format_conversations(turns, TOKENIZER).collect():
+        exact(row)
 
 
 def test_empty_table(spark):
@@ -72,8 +105,15 @@ def test_covered_against_a_loop(seed):
     starts = starts[: len(ends)]
     places = np.unique(rng.integers(0, 200, 60))
     token_start, token_end = places[:-1], places[1:]
-    mask, a, b = cf.covered(starts, ends, token_start, token_end)
+    crosses = any(x < c < y for x, y in zip(token_start, token_end, strict=True) for c in [*starts, *ends])
+    if crosses:
+        with pytest.raises(ValueError, match="across"):
+            cf.covered(starts, ends, token_start, token_end)
+    places = np.unique(np.concatenate([places, starts, ends]))
+    token_start, token_end = places[:-1], places[1:]
+    mask = cf.covered(starts, ends, token_start, token_end)
     inside = {c for s, e in zip(starts, ends, strict=True) for c in range(s, e)}
     assert mask.tolist() == [any(c in inside for c in range(s, e)) for s, e in zip(token_start, token_end, strict=True)]
-    whole = {c for s, e in zip(token_start, token_end, strict=True) for c in range(s, e)} & inside
-    assert sorted(c for s, e in zip(a, b, strict=True) for c in range(s, e)) == sorted(whole)
+    a, b = cf.stretches(mask, token_start, token_end)
+    held = {c for s, e in zip(token_start, token_end, strict=True) for c in range(s, e)} & inside
+    assert sorted(c for s, e in zip(a, b, strict=True) for c in range(s, e)) == sorted(held)
