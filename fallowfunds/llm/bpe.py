@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fallowfunds.llm.common import passed
+from fallowfunds.llm.common import passed, quoted
 
 LEAF = 1 << 16  # bytes of a text that one task encodes in one go
 WINDOW = 64  # bytes on each side of a join that are encoded anew at first
@@ -209,16 +209,16 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", leaf: int = LEAF
     gives way to the result. Texts beyond ``leaf`` bytes are cut, dealt out, encoded and joined; their
     order among the rows is not kept.
     """
-    size = F.octet_length(F.col(f"`{text}`"))
+    size = F.octet_length(quoted(text))
     kept = passed(docs, "ids")
-    short = docs.filter(size.isNull() | (size <= leaf)).select(*kept, _encoded(F.col(f"`{text}`"), tokenizer).alias("ids"))
+    short = docs.filter(size.isNull() | (size <= leaf)).select(*kept, _encoded(quoted(text), tokenizer).alias("ids"))
 
     names = [c for c in docs.columns if c.lower() != "ids"]
-    others = [F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names) if c != text]
+    others = [quoted(c).alias(f"c{i}") for i, c in enumerate(names) if c != text]
     # Equal rows are one row with a count; the key spreads copies of one text that differ elsewhere.
     row = F.struct(*others, F.lit(0).alias("end"))
     micros = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
-    long = docs.filter(size > leaf).select(row.alias("row"), F.col(f"`{text}`").alias("text"))
+    long = docs.filter(size > leaf).select(row.alias("row"), quoted(text).alias("text"))
     cut = long.select(
         "row",
         F.sha2(F.concat_ws("\n", F.to_json("row", micros), "text"), 256).alias("key"),
@@ -259,4 +259,4 @@ def decode(tokens: DataFrame, tokenizer: str, ids: str = "ids", out: str = "deco
         rows = [back(flat[a:b]) for a, b in zip(ends, ends[1:])]
         return pa.array(rows, pa.string(), mask=lists.is_null().to_numpy(zero_copy_only=False))
 
-    return tokens.select(*passed(tokens, out), texts(F.col(f"`{ids}`")).alias(out))
+    return tokens.select(*passed(tokens, out), texts(quoted(ids)).alias(out))

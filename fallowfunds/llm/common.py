@@ -72,6 +72,28 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return rest == HELD_OUT
 
 
+def quoted(name: str) -> Column:
+    """The column of just this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def packed(docs: DataFrame, **own: Column) -> DataFrame:
+    """An operator's ``own`` columns, and all of the caller's as one, ``row``: their names cannot meet."""
+    fields = [quoted(c).alias(f"c{i}") for i, c in enumerate(docs.columns)]
+    return docs.select(F.struct(*fields, F.lit(0).alias("end")).alias("row"), *[c.alias(n) for n, c in own.items()])
+
+
+def field(docs: DataFrame, name: str) -> Column:
+    """A column of ``docs`` in its packed form."""
+    return F.col("row")[f"c{[c.lower() for c in docs.columns].index(name.lower())}"]
+
+
+def unpacked(docs: DataFrame, *new: str) -> list[Column]:
+    """The columns of ``docs`` from its packed form, except those whose names an operator's results take."""
+    taken = {n.lower() for n in new}
+    return [F.col("row")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns) if c.lower() not in taken]
+
+
 def passed(frame: DataFrame, *new: str) -> list[Column]:
     """The columns of a frame except those whose names an operator's own results take."""
-    return [F.col(f"`{c}`") for c in frame.columns if c.lower() not in {n.lower() for n in new}]
+    return [quoted(c) for c in frame.columns if c.lower() not in {n.lower() for n in new}]

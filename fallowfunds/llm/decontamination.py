@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fallowfunds.llm.common import lower_ascii, passed, whole
+from fallowfunds.llm.common import lower_ascii, packed, quoted, unpacked, whole
 
 WINDOW = 10  # words that count as contamination
 # explode_outer keeps the optimizer from pushing a filter on the array's size below the arrays it is
@@ -94,7 +94,7 @@ def contamination(
     document; NULL and empty texts have no words and no hits, items without words match nothing,
     items without an id count as ''. Input columns that bear the name of a new one are replaced.
     """
-    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
+    rows = packed(docs, text=quoted(text)).withColumn(ROW, F.monotonically_increasing_id())
     bench = item_windows(benchmark, item_id, item_text)
     item_prints = (
         fingerprints(gram_hashes(benchmark.select(words(item_text).alias("words"))))
@@ -102,7 +102,7 @@ def contamination(
         .filter("print IS NOT NULL")
         .distinct()
     )
-    doc_words = rows.select(ROW, words(text).alias("words"))
+    doc_words = rows.select(ROW, words("text").alias("words"))
     hits = (
         fingerprints(gram_hashes(doc_words))
         .select(ROW, F.explode_outer("prints").alias("print"))
@@ -110,7 +110,7 @@ def contamination(
         .groupBy(ROW)
         .agg(F.collect_list("print").alias("found"))
     )
-    near = gram_hashes(rows.select(ROW, text).join(hits, ROW).select(ROW, "found", words(text).alias("words")))
+    near = gram_hashes(rows.select(ROW, "text").join(hits, ROW).select(ROW, "found", words("text").alias("words")))
     last = F.size("words") - WINDOW
     places = F.filter(
         F.sequence(F.lit(0), F.size("grams") - 1),
@@ -148,9 +148,9 @@ def contamination(
         )
     )
     none = F.array().cast("array<string>")
-    counted = rows.withColumn("__words", F.regexp_count(lower_ascii(whole(text)), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")))
+    counted = rows.withColumn("__words", F.regexp_count(lower_ascii(whole("text")), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")))
     return counted.join(found, ROW, "left").select(
-        *passed(docs, "n_words", "n_hit", "items", "n_items", "contaminated"),
+        *unpacked(docs, "n_words", "n_hit", "items", "n_items", "contaminated"),
         F.col("__words").cast("long").alias("n_words"),
         F.coalesce("__hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("__items", none).alias("items"),

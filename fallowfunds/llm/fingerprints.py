@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fallowfunds.llm.common import lower_ascii, passed, whole
+from fallowfunds.llm.common import lower_ascii, packed, unpacked, whole
 
 # Terms are counted in this many classes of their hash, so what every task holds of the lexicon has a
 # fixed size. Rare terms add about (terms of a document) / CLASSES of all documents to a class, which
@@ -155,8 +155,8 @@ def fingerprint(
     small for the band (no term in two documents) falls back to all terms of a text.
     """
     words = _bits(lexicon(docs, text, low, high))
-    found = parts(docs.withColumn("__classes", term_classes(text)), "__classes", words, "__parts")
-    return found.select(*passed(docs, "fingerprint"), text_of("__parts").alias("fingerprint"))
+    found = parts(packed(docs, classes=term_classes(text)), "classes", words, "parts")
+    return found.select(*unpacked(docs, "fingerprint"), text_of("parts").alias("fingerprint"))
 
 
 def compare_edits(

@@ -8,9 +8,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fallowfunds.llm.common import SPACES, lower_ascii, passed, whole
+from fallowfunds.llm.common import SPACES, field, lower_ascii, packed, stored, unpacked, whole
 
-ROW, LINES, KEYS, GONE = "__row", "__lines", "__keys", "__gone"
+SENT = 500_000  # shared lines that are sent to every task at most (16 bytes each); more are joined by a shuffle
 
 
 def _fingerprint(key):
@@ -50,32 +50,32 @@ def drop_shared_lines(
     empty line. All other columns are passed through, except such as bear the name of a new one; an
     empty table gives an empty one. A document left without lines has the empty text.
     """
-    rows = docs.withColumn(ROW, F.monotonically_increasing_id())
+    rows = packed(docs).withColumn("at", F.monotonically_increasing_id())
+    said = whole(field(docs, text))
     key = lambda line: lower_ascii(F.btrim(line, F.lit(SPACES)))
-    lines = rows.select(ROW, F.posexplode(F.split(whole(text), "\n", -1)).alias("pos", "line"))
-    placed = lines.select(ROW, "pos", key(F.col("line")).alias("key")).select(
-        ROW, "pos", _fingerprint(F.col("key")).alias("f")
-    ).select(ROW, "pos", F.col("f.a").alias("a"), F.col("f.b").alias("b"))
-    shared = shared_keys(docs, text, min_docs, min_chars)
-    gone = (
-        placed.join(shared, ["a", "b"], "left_semi")
-        .groupBy(ROW)
-        .agg(F.collect_list("pos").alias(GONE))
-    )
-    found = rows.join(gone, ROW, "left")
-    all_lines = F.split(whole(text), "\n", -1)
-    kept = F.when(F.col(GONE).isNull(), whole(text)).otherwise(
+    lines = rows.select("at", F.posexplode(F.split(said, "\n", -1)).alias("pos", "line"))
+    placed = lines.select("at", "pos", key(F.col("line")).alias("key")).select(
+        "at", "pos", _fingerprint(F.col("key")).alias("f")
+    ).select("at", "pos", F.col("f.a").alias("a"), F.col("f.b").alias("b"))
+    shared = stored(shared_keys(docs, text, min_docs, min_chars), "shared-lines")
+    if shared.count() <= SENT:  # so the many copies of one line need not meet in a task
+        shared = F.broadcast(shared)
+    gone = placed.join(shared, ["a", "b"], "left_semi").groupBy("at").agg(F.collect_list("pos").alias("gone"))
+    found = rows.join(gone, "at", "left")
+    all_lines = F.split(said, "\n", -1)
+    kept = F.when(F.col("gone").isNull(), said).otherwise(
         F.array_join(
             F.transform(
-                F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col(GONE)),
+                F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("gone")),
                 lambda at: F.element_at(all_lines, at + 1),
             ),
             "\n",
         )
     )
+    # In two steps: inside a lambda a name would be looked for among the caller's columns as well.
     return found.select(
-        *passed(docs, "kept_text", "n_lines", "n_dropped"),
+        "row",
         kept.alias("kept_text"),
         F.size(all_lines).cast("long").alias("n_lines"),
-        F.when(F.col(GONE).isNull(), 0).otherwise(F.size(GONE)).cast("long").alias("n_dropped"),
-    )
+        F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_dropped"),
+    ).select(*unpacked(docs, "kept_text", "n_lines", "n_dropped"), "kept_text", "n_lines", "n_dropped")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fallowfunds.llm import bloom
-from fallowfunds.llm.common import passed, released, stored, whole
+from fallowfunds.llm.common import packed, quoted, released, stored, unpacked, whole
 from fallowfunds.llm.components import components
 from fallowfunds.llm.flat import Hasher, buffers, chunks, mix, shingles, words
 
@@ -319,7 +319,7 @@ def _merge(labels: DataFrame, found: DataFrame) -> DataFrame:
 
 def _key(doc_id: str, text: str) -> Column:
     """What tells rows apart: a hash of the id and the text."""
-    name = F.coalesce(F.col(f"`{doc_id}`").cast("long").cast("string"), F.lit("-"))
+    name = F.coalesce(quoted(doc_id).cast("long").cast("string"), F.lit("-"))
     return F.unhex(F.md5(F.concat(name, F.lit(" "), whole(text)).cast("binary")))
 
 
@@ -380,7 +380,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_
     and have no results here: their ``n_shingles`` and ``component_id`` are NULL (:func:`keep_one`
     compares them too).
     """
-    rows = docs.select(_key(doc_id, text).alias("key"), F.col(f"`{doc_id}`").cast("long").alias("id"), whole(text).alias("text"))
+    rows = docs.select(_key(doc_id, text).alias("key"), quoted(doc_id).cast("long").alias("id"), whole(text).alias("text"))
     members, labels = _groups(rows.filter("id IS NOT NULL"), percent, by_id=True)
     named = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     low = named.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("id").alias("low"))
@@ -388,15 +388,12 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_
     twice = named.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.min("low").alias("id_low")).filter("rows > 1")
     if not twice.isEmpty():  # an empty text goes with the others of its id
         named = named.join(twice, "id", "left").withColumn("low", F.coalesce("low", "id_low"))
-    found = named.select(
-        F.col("key").alias("__found"), F.col("n").alias("__n"), F.coalesce("low", "id").alias("__comp"), F.col("id").alias("__id")
-    )
-    joined = docs.withColumn("__key", _key(doc_id, text)).join(found, F.col("__key") == F.col("__found"), "left")
-    return joined.select(
-        *passed(docs, "n_shingles", "component_id", "kept"),
-        F.col("__n").alias("n_shingles"),
-        F.col("__comp").alias("component_id"),
-        F.coalesce(F.col("__comp") == F.col("__id"), F.lit(True)).alias("kept"),
+    found = named.select("key", "n", F.coalesce("low", "id").alias("comp"), "id")
+    return packed(docs, key=_key(doc_id, text)).join(found, "key", "left").select(
+        *unpacked(docs, "n_shingles", "component_id", "kept"),
+        F.col("n").alias("n_shingles"),
+        F.col("comp").alias("component_id"),
+        F.coalesce(F.col("comp") == F.col("id"), F.lit(True)).alias("kept"),
     )
 
 
@@ -407,7 +404,7 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", te
     smallest id stays, one without an id only if its whole group has none. Of rows equal in id and text
     the least by the other columns stays, also if the text is empty.
     """
-    rows = docs.select(_key(doc_id, text).alias("key"), F.col(f"`{doc_id}`").cast("long").alias("id"), whole(text).alias("text"))
+    rows = docs.select(_key(doc_id, text).alias("key"), quoted(doc_id).cast("long").alias("id"), whole(text).alias("text"))
     members, labels = _groups(rows, percent, by_id=False)
     named = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     heads = named.filter("comp IS NOT NULL").groupBy("comp").agg(
@@ -417,7 +414,7 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, doc_id: str = "doc_id", te
     # Rows that go and rows with an equal are looked for; all others stay where they are.
     gone = members.select("key").join(heads, "key", "left_anti").withColumn("c", F.lit(0).cast("long"))
     odd = stored(gone.unionByName(heads.filter("c > 1")), "odd")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
+    columns = [quoted(c) for c in docs.columns]
     named = docs.select(F.struct(*columns).alias("row"), _key(doc_id, text).alias("key"))
     known = _filter(odd)
     clear = named.filter(~bloom.may_hold(F.xxhash64("key"), known)).select("row")

@@ -8,14 +8,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, LongType, StructField, StructType
 
-from fallowfunds.llm.common import held_out, passed, stored, whole
+from fallowfunds.llm.common import held_out, packed, passed, stored, unpacked, whole
 from fallowfunds.llm.flat import Hasher, chunks, mix, words
 
 PASSAGE = 32  # words
 SAMPLE = 12_000  # labelled documents the model is fitted on at most, by the order of a hash
+PASSAGES = 1_000_000  # passages that they have at most; their features are fitted on the driver (124 bytes each)
 HIDDEN, ATTENTION, STEPS, RATE = 24, 12, 250, 0.02
 
 # Classes of bytes whose shares describe a passage.
@@ -133,25 +135,34 @@ def fit(x: np.ndarray, bags: np.ndarray, y: np.ndarray, seed: int = 11) -> dict:
     return m
 
 
-def learn(labelled: DataFrame) -> dict | None:
-    """A model from ``labelled`` (text, good), a bounded sample: its passages' features come to the driver."""
+def learn(labelled: DataFrame, most: int = PASSAGES) -> dict | None:
+    """A model from ``labelled`` (key, text, good), a sample with one row for each key.
+
+    Its passages' features come to the driver: those of whole documents, in the order of a hash of their
+    keys, as long as they have ``most`` passages together.
+    """
 
     def run(batches):
         for batch in batches:
-            good = batch.column(1).to_pylist()
-            for first, last, data, offsets in chunks(batch.column(0)):
+            for first, last, data, offsets in chunks(batch.column(1)):
                 x, bags = encode(data, offsets)
                 ends = np.cumsum(bags)
                 yield pa.RecordBatch.from_arrays(
                     [
+                        batch.column(0).slice(first, last - first),
+                        batch.column(2).slice(first, last - first),
+                        pa.array(bags.astype(np.int64)),
                         pa.array([x[b - n : b].tobytes() for b, n in zip(ends, bags, strict=True)], pa.binary()),
-                        pa.array(good[first:last], pa.bool_()),
                     ],
-                    ["x", "good"],
+                    ["key", "good", "n", "x"],
                 )
 
-    found = labelled.select("text", "good").mapInArrow(run, "x binary, good boolean")
-    rows = found.collect()  # bounded by the sample; in the order of the scan, so a fit can be repeated
+    schema = StructType([labelled.schema["key"], labelled.schema["good"]]).add("n", "long").add("x", "binary")
+    found = stored(labelled.select("key", "text", "good").mapInArrow(run, schema), "quality-features")
+    order = Window.orderBy(F.xxhash64("key"), "key")  # over the sample, a number for each document
+    held = found.select("key", F.sum("n").over(order).alias("upto")).filter(F.col("upto") <= most).select("key")
+    rows = found.join(F.broadcast(held), "key").collect()  # bounded by ``most``
+    rows.sort(key=lambda r: r.key)  # so that a fit can be repeated
     y = np.array([r.good for r in rows], np.float32)
     if not len(y) or y.min() == y.max():
         return None
@@ -161,12 +172,16 @@ def learn(labelled: DataFrame) -> dict | None:
 
 def score(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
     """``docs`` with ``score`` (0 to 1), ``n_passages`` and ``attention`` (each passage's weight)."""
-    names, schema = docs.columns, docs.schema.simpleString()[7:-1]
+    new = ("score", "n_passages", "attention")
+    rows = packed(docs, text=whole(text))
+    schema = StructType(
+        [rows.schema["row"], StructField("score", DoubleType()), StructField("n_passages", LongType()), StructField("attention", ArrayType(FloatType()))]
+    )
 
     def run(batches):
         for batch in batches:
             scores, counts, weights = [], [], []
-            for _, _, data, offsets in chunks(batch.column(batch.num_columns - 1)):
+            for _, _, data, offsets in chunks(batch.column(1)):
                 x, bags = encode(data, offsets)
                 if model is None:
                     p, weight = np.full(len(bags), 0.5), np.repeat(1.0 / bags, bags)
@@ -181,28 +196,28 @@ def score(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
                 pa.array(np.append(0, np.cumsum(count)).astype(np.int32)), pa.array(np.concatenate([*weights, none.astype(np.float32)]))
             )
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(np.concatenate([*scores, none])), pa.array(count), lists],
-                [*names, "score", "n_passages", "attention"],
+                [batch.column(0), pa.array(np.concatenate([*scores, none])), pa.array(count), lists], ["row", *new]
             )
 
-    return docs.select(*[F.col(f"`{c}`") for c in names], whole(text).alias("__text")).mapInArrow(
-        run, f"{schema}, score double, n_passages long, attention array<float>"
-    )
+    return rows.mapInArrow(run, schema).select(*unpacked(docs, *new), *new)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample: int = SAMPLE) -> DataFrame:
     """``docs`` with ``held_out``, ``score``, ``predicted``, ``n_passages`` and ``attention``.
 
     ``docs`` has doc_id and text, ``labels`` doc_id and quality; rows of labels without either are left out. The model is
-    fitted on at most ``sample`` labelled rows that are not held out; a label given twice counts once, and if labels differ
-    the lower holds. Every whole text is scored; NULL and empty ones as one empty passage. Without labels of both kinds
+    fitted on at most ``sample`` labelled rows that are not held out, with ``PASSAGES`` passages at most; a label given twice
+    counts once, and if labels differ the lower holds; an id given twice teaches with the greatest of its texts. Input columns
+    that bear the name of a new one are replaced; others may have any name. Every whole text is scored; NULL and empty ones as one empty passage. Without labels of both kinds
     every score is 0.5.
     """
     known = labels.filter("quality IS NOT NULL AND doc_id IS NOT NULL").select(F.col("doc_id").alias("key"), (F.col("quality") == 1).alias("good"))
     known = known.filter(~held_out("key")).groupBy("key").agg(F.min("good").alias("good"))
     # The sample is drawn on ids alone; so few can be sent to every task, and texts are not moved.
     known = F.broadcast(stored(known.orderBy(F.xxhash64("key"), "key").limit(sample), "quality-labels"))
-    taught = docs.select("doc_id", whole("text").alias("text")).join(known, F.col("doc_id") == F.col("key"))
+    said = docs.select("doc_id", whole("text").alias("text")).join(known, F.col("doc_id") == F.col("key"))
+    # An id teaches once, however many rows repeat it, with the greatest of their texts.
+    taught = said.groupBy("key", "good").agg(F.max("text").alias("text"))
     found = score(docs.select(*passed(docs, "held_out", "score", "predicted", "n_passages", "attention")), learn(taught))
     return found.select(
         *passed(docs, "held_out", "score", "predicted", "n_passages", "attention"),

@@ -25,8 +25,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from fallowfunds.llm.common import passed, stored, whole
+from fallowfunds.llm.common import packed, quoted, stored, unpacked, whole
 from fallowfunds.llm.flat import Hasher, buffers, chunks, mix
 
 LENGTH = 200  # bytes of a string that must not occur twice
@@ -35,7 +36,6 @@ GRAM = 12  # bytes whose hash chooses anchors
 CROWD = 20_000  # suffixes of one block beyond which its strings are counted one by one
 BLOCK_ROWS = 8192  # suffixes merged at once, unless one block has more
 
-KEY, TEXT = "__key", "__text"
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH):
@@ -263,14 +263,14 @@ def merged_spans(rows: DataFrame, length: int) -> DataFrame:
     return rows.select(*columns).mapInArrow(run, "key long, start int, end int")
 
 
-def cut_out(docs: DataFrame, text: str, spans: str) -> DataFrame:
-    """``docs`` with ``kept`` (bytes), ``n_bytes``, ``n_removed`` and ``n_spans``, without ``spans`` and ``text``'s copy."""
-    names = [c for c in docs.columns if c not in (text, spans)]
-    schema = docs.select(*[F.col(f"`{c}`") for c in names]).schema.simpleString()[7:-1]
+def cut_out(docs: DataFrame) -> DataFrame:
+    """``docs`` (row, text, spans) with ``kept`` (bytes), ``n_bytes``, ``n_removed`` and ``n_spans`` for text and spans."""
+    results = ("kept", "n_bytes", "n_removed", "n_spans")
+    schema = StructType([docs.schema["row"], StructField("kept", BinaryType()), *[StructField(c, LongType()) for c in results[1:]]])
 
     def run(batches):
         for batch in batches:
-            raws, lists = batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1)
+            raws, lists = batch.column(1).to_pylist(), batch.column(2)
             kept, sizes, removed, counts = [], [], [], []
             for raw, found in zip(raws, lists, strict=True):
                 raw = (raw or "").encode()
@@ -288,12 +288,10 @@ def cut_out(docs: DataFrame, text: str, spans: str) -> DataFrame:
                 kept.append(b"".join(raw[x:y] for x, y in zip([0, *b.tolist()], [*a.tolist(), len(raw)], strict=True)))
                 removed.append(int((b - a).sum()))
                 counts.append(len(a))
-            new = [pa.array(kept, pa.binary()), *(pa.array(x, pa.int64()) for x in (sizes, removed, counts))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *new], [*names, "kept", "n_bytes", "n_removed", "n_spans"])
+            numbers = [pa.array(x, pa.int64()) for x in (sizes, removed, counts)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.binary()), *numbers], ["row", *results])
 
-    return docs.select(*[F.col(f"`{c}`") for c in names], text, spans).mapInArrow(
-        run, f"{schema}, kept binary, n_bytes long, n_removed long, n_spans long"
-    )
+    return docs.select("row", "text", "spans").mapInArrow(run, schema)
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH) -> DataFrame:
@@ -306,8 +304,8 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     ``length`` must be more than SPREAD + GRAM.
     """
     # A row's key comes from its content: two scans, or a scan after a lost executor, agree on it.
-    keyed = docs.withColumns({KEY: F.xxhash64(F.col(f"`{doc_id}`").cast("string"), whole(text)), TEXT: whole(text)})
-    all_suffixes = suffixes(keyed.select(F.col(KEY).alias("key"), F.col(TEXT).alias("text")), length)
+    keyed = packed(docs, key=F.xxhash64(quoted(doc_id).cast("string"), whole(text)), text=whole(text))
+    all_suffixes = suffixes(keyed.select("key", "text"), length)
     cores = all_suffixes.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     company = stored(all_suffixes.join(cores, "core"), "suffixes")
     place = F.struct("key", "anchor")
@@ -326,7 +324,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         .groupBy("key")
         .agg(F.collect_set(F.struct("core", "anchor", "first", "last", (F.col("n") > CROWD).alias("crowd"))).alias("hard"))
     )
-    sent = keyed.select(F.col(KEY).alias("key"), F.col(TEXT).alias("text")).join(hard, "key")
+    sent = keyed.select("key", "text").join(hard, "key")
     around = stored(contexts(sent.select("key", "text", "hard"), length), "contexts")
     runs_ = around.filter("NOT alone").repartition("core").sortWithinPartitions("core", "shard", "rank")
     close = merged_spans(runs_, length)
@@ -336,9 +334,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     spans = (
         settled.select("key", "start", F.col("end").cast("int").alias("end")).unionByName(close).unionByName(crowded)
         .groupBy("key")
-        .agg(F.collect_set(F.struct("start", "end")).alias("__spans"))
-        .withColumnRenamed("key", "__of")
+        .agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     )
-    others = passed(docs, "kept", "n_bytes", "n_removed", "n_spans")
-    joined = keyed.join(spans, F.col(KEY) == F.col("__of"), "left").select(*others, TEXT, "__spans")
-    return cut_out(joined, TEXT, "__spans")
+    new = ("kept", "n_bytes", "n_removed", "n_spans")
+    return cut_out(keyed.join(spans, "key", "left")).select(*unpacked(docs, *new), *new)

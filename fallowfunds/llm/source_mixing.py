@@ -12,11 +12,12 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fallowfunds.llm.common import passed, stored, whole
+from fallowfunds.llm.common import packed, stored, unpacked, whole
 
 GRID = 1 << 20  # exponents are multiples of 1 / GRID
 SPLIT = 16  # parts an interval of exponents is cut into by one job: four bisections at once
 REPEAT = 2.0  # production: no document is read more than about twice
+SENT = 100_000  # sources whose plan is sent to every task at most; more are joined by a shuffle
 SOURCE, TOKENS, ID = "__source", "__tokens", "__id"
 
 
@@ -112,11 +113,12 @@ def mix(
     gives an empty one.
     """
     src, key = F.coalesce(F.col(source).cast("string"), F.lit("")), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
-    rows = docs.withColumns({SOURCE: src, ID: key, TOKENS: token_count(text)})
+    rows = packed(docs, **{SOURCE: src, ID: key, TOKENS: token_count(text)})
     narrow = stored(rows.select(SOURCE, ID, TOKENS), "mixing")
     sizes = stored(
         narrow.groupBy(SOURCE).agg(F.sum(TOKENS).alias("tokens"), F.count(F.lit(1)).alias("docs")), "sources"
     )
+    few = sizes.count() <= SENT  # then the rows of a large source need not meet in a task
     full = sizes.filter("tokens > 0")
     if full.isEmpty():
         plan = sizes.select(
@@ -124,10 +126,9 @@ def mix(
             *[F.lit(None).cast("string").alias(c) for c in ("at_order", "at_key")], F.lit(None).cast("long").alias("at_block"),
         )
     else:
-        plan = _plan(narrow, sizes, full, exponent(full, budget, repeat, entropy), budget, seed)
-    # The plan's names must not meet those of the caller's columns.
+        plan = _plan(narrow, sizes, full, exponent(full, budget, repeat, entropy), budget, seed, few)
     plan = plan.select(SOURCE, *[F.col(c).alias(f"__{c}") for c in plan.columns if c != SOURCE])
-    chosen = rows.join(plan, SOURCE).withColumns(
+    chosen = rows.join(F.broadcast(plan) if few else plan, SOURCE).withColumns(
         {"__block": _block(F.col(ID), F.col("__blocks"), seed)}
     ).withColumns(
         {
@@ -145,7 +146,7 @@ def mix(
     return (
         chosen.withColumn("__epoch", F.explode(epochs))
         .select(
-            *passed(docs, "epoch", "n_tokens", "weight", "block", "order_key"),
+            *unpacked(docs, "epoch", "n_tokens", "weight", "block", "order_key"),
             F.col("__epoch").alias("epoch"),
             F.col(TOKENS).alias("n_tokens"),
             F.round("__weight", 9).alias("weight"),
@@ -158,7 +159,7 @@ def mix(
     )
 
 
-def _plan(narrow: DataFrame, sizes: DataFrame, full: DataFrame, alpha: float, budget: int | None, seed: int) -> DataFrame:
+def _plan(narrow: DataFrame, sizes: DataFrame, full: DataFrame, alpha: float, budget: int | None, seed: int, few: bool) -> DataFrame:
     """For each source: weight, whole passes, blocks, and where its last pass ends."""
     m = _measures(full, [round(alpha * GRID)])[round(alpha * GRID)]
     total = full.agg(F.sum("tokens")).first()[0]
@@ -171,7 +172,8 @@ def _plan(narrow: DataFrame, sizes: DataFrame, full: DataFrame, alpha: float, bu
         SOURCE, "tokens", weight.alias("weight"), passes.cast("int").alias("passes"), given.alias("given"),
         F.ceil(F.sqrt(F.col("docs"))).cast("long").alias("blocks"),
     ).withColumn("rest", F.when(F.col("tokens") > 0, F.col("given") - F.col("passes") * F.col("tokens")).otherwise(0))
-    placed = narrow.join(budgets.select(SOURCE, "passes", "blocks", "rest"), SOURCE).withColumn(
+    given_to = budgets.select(SOURCE, "passes", "blocks", "rest")
+    placed = narrow.join(F.broadcast(given_to) if few else given_to, SOURCE).withColumn(
         "block", _block(F.col(ID), F.col("blocks"), seed)
     )
     order = Window.partitionBy(SOURCE).orderBy("order", "block")

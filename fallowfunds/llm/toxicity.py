@@ -8,22 +8,22 @@ the best that chance gives in a text of that length (a Gumbel law), and that is
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from fallowfunds.llm.common import held_out, passed, stored, whole
+from fallowfunds.llm.common import held_out, packed, passed, stored, unpacked, whole
 from fallowfunds.llm.flat import Hasher, chunks, runs
 
 PRIOR = 500.0  # pseudo-documents the prior is worth
 LEAST_Z, LEAST_DOCS = 4.0, 4  # evidence a unit needs
 LEAST_ODDS = 1.0  # what such a unit adds at least; weaker ones would add up to noise
 CAUTION = 1.0  # standard deviations taken off a unit's log-odds
-UNITS = 50_000  # units a model holds at most: the strongest
+UNITS = 50_000  # units a model holds at most (a documented bound of what is sent to every task): the strongest
 SAMPLE = 200_000  # labelled rows a model learns from at most
 COST = 0.1  # of a word without evidence, in nats
 PREFIXES = (4, 5, 6, 7, 8)  # bytes
@@ -55,6 +55,17 @@ def _units(data: np.ndarray, offsets: np.ndarray):
     return row, units
 
 
+def _values(data: np.ndarray, offsets: np.ndarray, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """(row of each word, its log-odds: those of its most telling unit, 0 without evidence)."""
+    row, units = _units(data, offsets)
+    value = np.zeros(len(row))
+    if len(model.keys):
+        for unit in units:
+            at = np.minimum(np.searchsorted(model.keys, unit), len(model.keys) - 1)
+            np.maximum(value, np.where(model.keys[at] == unit, model.odds[at], 0.0), out=value)
+    return row, value
+
+
 def unit_counts(labelled: DataFrame) -> DataFrame:
     """(unit, toxic, other): documents of either label that hold a unit."""
 
@@ -110,15 +121,36 @@ def learn(labelled: DataFrame) -> Model:
     keys = np.array([r.unit for r in found], np.int64).view(np.uint64)
     order = np.argsort(keys)
     value = np.array([r.odds for r in found])
-    # The decay solves: the mean of exp(decay * score) over words of clean documents is 1.
-    rate = np.array([(r.other + 0.5) / (n0 * 100.0) for r in found])
-    rate *= min(1.0, 0.01 / rate.sum())
+    return Model(keys[order], value[order], 1.0)
+
+
+def word_values(clean: DataFrame, model: Model) -> list[tuple[float, int]]:
+    """(log-odds of words to a hundredth, number of words with them) over all texts of ``clean``."""
+
+    def run(batches):
+        for batch in batches:
+            for _, _, data, offsets in chunks(batch.column(0)):
+                _, value = _values(data, offsets, model)
+                cents, n = np.unique(np.rint(value * 100).astype(np.int64), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(cents), pa.array(n.astype(np.int64))], ["cents", "n"])
+
+    counted = clean.select("text").mapInArrow(run, "cents long, n long").groupBy("cents").agg(F.sum("n").alias("n"))
+    return [(r.cents / 100, r.n) for r in counted.collect()]  # log-odds have a bounded range
+
+
+def decay(counted: list[tuple[float, int]], odds: np.ndarray) -> float:
+    """Lambda of the Gumbel law: the mean of exp(lambda * score) over words of clean documents is 1.
+
+    Every unit counts as half a word more than was seen, as the next text may hold it.
+    """
+    value = np.array([v for v, _ in counted] + odds.tolist())
+    weight = np.array([float(n) for _, n in counted] + [0.5] * len(odds))
+    value, weight = np.where(value > 0, value, -COST), weight / weight.sum()
     low, high = 0.0, 5.0
     for _ in range(60):
         mid = (low + high) / 2
-        mean = (1 - rate.sum()) * math.exp(-mid * COST) + float((rate * np.exp(mid * value)).sum())
-        low, high = (mid, high) if mean < 1 else (low, mid)
-    return Model(keys[order], value[order], max(low, 0.01))
+        low, high = (mid, high) if float((weight * np.exp(mid * value)).sum()) < 1 else (low, mid)
+    return max(low, 0.01)
 
 
 def segments(place: list[int], score: list[float], cost: float) -> list[tuple[float, int, int]]:
@@ -148,22 +180,20 @@ def segments(place: list[int], score: list[float], cost: float) -> list[tuple[fl
 
 def passages(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``n_words``, ``best`` (the best segment's score, 0 without one) and ``found``."""
-    names = docs.columns
-    keys, odds = model.keys, model.odds
-    schema = docs.schema.simpleString()[7:-1]
+    new = ("n_words", "best", "found")
+    rows = packed(docs, text=whole(text))
+    segment = StructType([StructField("score", DoubleType()), StructField("first_word", LongType()), StructField("last_word", LongType())])
+    schema = StructType(
+        [rows.schema["row"], StructField("n_words", LongType()), StructField("best", DoubleType()), StructField("found", ArrayType(segment))]
+    )
 
     def run(batches):
         for batch in batches:
             n_words, best, found = [], [], []
-            for first, last, data, offsets in chunks(batch.column(batch.num_columns - 1)):
-                row, units = _units(data, offsets)
+            for first, last, data, offsets in chunks(batch.column(1)):
+                row, value = _values(data, offsets, model)
                 count = np.bincount(row, minlength=last - first)
                 n_words.append(count)
-                value = np.zeros(len(row))
-                if len(keys):
-                    for unit in units:  # a word counts as its most telling unit
-                        at = np.minimum(np.searchsorted(keys, unit), len(keys) - 1)
-                        np.maximum(value, np.where(keys[at] == unit, odds[at], 0.0), out=value)
                 hit = np.flatnonzero(value > 0)
                 begin = np.cumsum(count) - count
                 limits = np.searchsorted(hit, np.append(begin, len(row)))
@@ -177,12 +207,12 @@ def passages(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     best.append(max(s[0] for s in some))
                     found.append([{"score": s, "first_word": a, "last_word": b} for s, a, b in some])
             kind = pa.list_(pa.struct([("score", pa.float64()), ("first_word", pa.int64()), ("last_word", pa.int64())]))
-            new = [pa.array(np.concatenate([*n_words, np.zeros(0, np.int64)]).astype(np.int64)), pa.array(best, pa.float64()), pa.array(found, kind)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *new], [*names, "n_words", "best", "found"])
+            counts = pa.array(np.concatenate([*n_words, np.zeros(0, np.int64)]).astype(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), counts, pa.array(best, pa.float64()), pa.array(found, kind)], ["row", *new]
+            )
 
-    return docs.select(*[F.col(f"`{c}`") for c in names], whole(text).alias("__text")).mapInArrow(
-        run, f"{schema}, n_words long, best double, found array<struct<score:double,first_word:bigint,last_word:bigint>>"
-    )
+    return rows.mapInArrow(run, schema).select(*unpacked(docs, *new), *new)
 
 
 def evidence(model: Model):
@@ -225,6 +255,8 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample:
     out. Labelled rows that are not held out teach the model, ``sample`` of them at most, by the order
     of a hash; so many ids can be sent to every task and texts need not be moved to meet them. NULL
     and empty texts are scored as texts without words. Without labels of both kinds every score is 0.5.
+    A model holds the ``UNITS`` most telling units at most. Input columns that bear the name of a new one
+    are replaced; others may have any name.
     """
     known = labels.filter("toxic IS NOT NULL AND doc_id IS NOT NULL").select(
         F.col("doc_id").alias("__id"), (F.col("toxic") == 1).alias("toxic")
@@ -240,6 +272,8 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample:
     known = F.broadcast(stored(single.select("__id", "toxic"), "toxic-texts"))
     taught = texts.join(known, F.col("doc_id") == F.col("__id"))
     model = learn(taught.select("text", "toxic"))
+    if len(model.keys):
+        model = replace(model, decay=decay(word_values(taught.filter("NOT toxic"), model), model.odds))
     judged = stored(passages(taught.select("toxic", "text"), model).select("toxic", "n_words", "best"), "toxic-judged")
     if len(model.keys):
         model = calibrate(judged, model)
