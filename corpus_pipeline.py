@@ -18,7 +18,7 @@ from fallowfunds.llm import (
     source_mixing,
     token_files,
 )
-from fallowfunds.llm.common import small_batches, stored, table
+from fallowfunds.llm.common import quoted, small_batches, stored, table
 
 # Neither a trained classifier nor sketches nor a tokenizer can be put in SQL; tests hold each stage
 # against a brute-force version.
@@ -28,7 +28,7 @@ ORACLE_SQL = None
 def _carried(docs: DataFrame, *used: str) -> DataFrame:
     """The used columns, and all others in one, under names that no operator knows."""
     others = [c for c in docs.columns if c not in used]
-    row = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)], F.lit(0).alias("end"))
+    row = F.struct(*[quoted(c).alias(f"c{i}") for i, c in enumerate(others)], F.lit(0).alias("end"))
     return docs.select(*used, row.alias("carried"))
 
 
