@@ -81,3 +81,10 @@ def test_token_files_read_two_columns(spark, rows):
     wide = rows.withColumns({c: F.lit(1) for c in [*EXTRA, "shard", "ids", "n_tokens", "local_start"]})
     a, b = (token_files.encode(d, TOKENIZER, 2).drop("shard", "local_start").collect() for d in (rows, wide))
     assert sorted(map(str, a)) == sorted(map(str, b))
+
+
+@pytest.mark.parametrize("name,module", [("lines", line_dedup), ("mixed", source_mixing)])
+def test_tables_too_large_to_send_are_joined(spark, rows, monkeypatch, name, module):
+    sent = sorted(map(str, run(spark, name, rows).collect()))
+    monkeypatch.setattr(module, "SENT", -1)
+    assert sorted(map(str, run(spark, name, rows).collect())) == sent

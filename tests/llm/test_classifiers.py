@@ -147,3 +147,36 @@ def test_attention_gradients():
     assert np.isclose(np.add.reduceat(weight, first), 1, atol=1e-4).all()
     several = bags > 1
     assert weight[mark][several].mean() > 1.2 * (1 / bags[several]).mean()
+
+
+def test_decay_solves_its_equation():
+    counted, odds = [(0.0, 5000), (2.0, 7), (3.5, 2)], np.array([2.0, 3.5, 3.5])
+    found = toxicity.decay(counted, odds)
+    words = [(-toxicity.COST, 5000.0), (2.0, 7.5), (3.5, 3.0)]
+    assert abs(sum(n * np.exp(found * v) for v, n in words) / sum(n for _, n in words) - 1) < 1e-9
+
+
+def test_every_word_is_counted_for_the_decay(documents):
+    docs = documents((1, "calm scum calm"), (2, None), (3, "scum " * 500 + "x, y"), (4, ""), (4, "trash"))
+    assert dict(toxicity.word_values(docs, insult_model())) == {0.0: 4, 2.0: 502}
+
+
+def test_an_id_teaches_once_however_often_it_is_repeated(tables):
+    docs, labels, _ = tables
+    copies = docs.filter("doc_id < 40")
+    for _ in range(3):
+        copies = copies.unionByName(copies)
+    a = {r.doc_id: r.score for r in quality.classify(docs, labels).collect()}
+    b = quality.classify(docs.unionByName(copies), labels).collect()
+    assert len(b) == len(a) + 8 * 40 and all(abs(a[r.doc_id] - r.score) < 1e-6 for r in b)
+
+
+def test_passages_that_teach_are_bounded_by_whole_documents(spark, documents, monkeypatch):
+    rows = [("a", "w " * 320, True), ("b", "w " * 320, False), ("c", "z " * 32, True), ("d", "", False)]
+    labelled = spark.createDataFrame(rows, "key string, text string, good boolean")
+    held = []
+    monkeypatch.setattr(quality, "fit", lambda x, bags, y: held.append((len(x), sorted(bags.tolist()))) or {})
+    assert quality.learn(labelled, most=22) == {} and held.pop() == (22, [1, 1, 10, 10])
+    quality.learn(labelled, most=12)
+    assert all(n <= 12 and n == sum(bags) for n, bags in held)
+    assert quality.learn(labelled, most=0) is None
