@@ -853,6 +853,8 @@ def build() -> dict[str, str]:
     trips = {
         "staging_round_trip": raw["normalize_ok"],
         "core_round_trip": identity["apply_classification"],
+        "history_by_party": identity["latest_classification"],
+        "profile_round_trip": raw["profile_columns"],
         "enrichment_round_trip": f"WITH {ENRICH} SELECT * FROM attempt",
         "staging_versions": f"WITH {NORMAL}, seen AS (SELECT 1 AS version, period, amount_cop FROM ok "
         "UNION ALL SELECT 3, period, amount_cop FROM ok WHERE period < '2023-1' "

@@ -25,7 +25,7 @@ from fallowfunds.operators import (
     search,
     sheets,
 )
-from fallowfunds.sources import builds, reading, writing
+from fallowfunds.sources import builds, history, reading, writing
 from fallowfunds.sources.scratch import scratch_dir, staged, written
 
 AS_OF = dt.date(1999, 6, 30)
@@ -654,6 +654,29 @@ def enrichment_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     return reading.read_enrichment(spark, root)
 
 
+def history_by_party(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest class of each party from a history laid out by party: three batches, of which one came
+    after the copy was made and one, copied without its classes, was replaced since."""
+    root = _root(spark)
+    attempts = d.enrichment_history(spark, sf).withColumn("third", F.pmod(F.xxhash64("party_id", "queried_at"), F.lit(3)))
+
+    def append(third: int, frame: DataFrame) -> None:
+        writing.append_enrichment(frame.filter(F.col("third") == third).drop("third"), root, f"batch-{third}")
+
+    append(0, attempts)
+    append(1, attempts.withColumn("document_type", F.lit(None).cast("string")))
+    history.compact(spark, root)
+    append(1, attempts)
+    append(2, attempts)
+    return identity.latest_classification(reading.read_enrichment(spark, root))
+
+
+def profile_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    path = f"{_root(spark)}/profile"
+    writing.write_profile(profile_columns(spark, sf), path)
+    return reading.read_profile(spark, path)
+
+
 ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -676,6 +699,6 @@ ALL: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         party_summary, party_period_summary, corpus_stats, claim_status, party_currency,
         party_search, raw_to_party_summary,
         staging_round_trip, staging_versions, core_round_trip, core_tables_round_trip,
-        enrichment_round_trip, read_objects,
+        enrichment_round_trip, read_objects, history_by_party, profile_round_trip,
     )
 }

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from fallowfunds import contracts as c
 from fallowfunds.mappings import pinned_mapping
 from fallowfunds.operators import enrichment, identity, lifecycle, lineage, normalize, search, sheets
-from fallowfunds.sources import builds, lookup, reading, writing
+from fallowfunds.sources import builds, history, lookup, reading, writing
 from fallowfunds.sources.scratch import written
 
 
@@ -101,9 +101,9 @@ def build_lineage(
 def build_identity(spark: SparkSession, root: str) -> DataFrame:
     """Party, court and court_name tables; classes come from the attempt history. Returns totals."""
     staging = reading.read_staging(spark, root)
-    history = reading.read_enrichment(spark, root)
+    attempts = reading.read_enrichment(spark, root)
     parties = identity.apply_classification(
-        identity.build_parties(staging), identity.latest_classification(history)
+        identity.build_parties(staging), identity.latest_classification(attempts)
     )
     writing.write_core(parties, c.PARTY, root)
     writing.write_core(identity.build_courts(staging), c.COURT, root)
@@ -143,6 +143,12 @@ def enrich_parties(
     return enrichment.enrichment_summary(batch)
 
 
+def compact_history(spark: SparkSession, root: str) -> str | None:
+    """Lay the attempt history out by party, so that classes, newest names and pending parties are found
+    without moving it. Later batches count at once; run it again when they have become many."""
+    return history.compact(spark, root)
+
+
 def core_deposits(
     spark: SparkSession, root: str, parties: DataFrame | None = None
 ) -> DataFrame:

@@ -7,10 +7,10 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from fallowfunds import contracts as c
-from fallowfunds.operators import lifecycle, normalize
+from fallowfunds.operators import enrichment, identity, lifecycle, normalize, search
 from fallowfunds.plans import jobs
 from fallowfunds.session import tune
-from fallowfunds.sources import builds, lookup, objects, reading, writing
+from fallowfunds.sources import builds, history, lookup, objects, reading, writing
 
 LATER = dt.datetime(2999, 1, 1)
 
@@ -276,3 +276,99 @@ def test_written_rows_are_counted_apart(spark, tmp_path, monkeypatch):
     counts = Observation()
     builds.write(judged(spark, ("a", "1"), ("b", "2")).withColumn("accepted", F.col("capture_id") == "a"), str(tmp_path), counts)
     assert counts.get == {"rows_ok": 1, "rows_rejected": 1}
+
+
+def attempts(spark, *rows):
+    """Found attempts of (party, day of January, name)."""
+    made = spark.createDataFrame(rows, "party_id string, day int, name string")
+    known = {"party_id": F.col("party_id"), "name": F.col("name"), "source": F.lit("RUES"), "status": F.lit("found"),
+             "result": F.lit("{}"), "document_type": F.lit("legal_entity"),
+             "queried_at": F.make_timestamp_ntz(F.lit(2026), F.lit(1), F.col("day"), F.lit(0), F.lit(0), F.lit(0))}
+    return made.select(*[known.get(f.name, F.lit(None)).cast(f.type).alias(f.name) for f in c.ENRICHMENT.fields])
+
+
+def names(spark, root):
+    return sorted((r["party_id"], r["name"]) for r in reading.read_enrichment(spark, root).collect())
+
+
+def test_a_compacted_history_has_the_rows_of_its_batches(spark, tmp_path):
+    root = str(tmp_path / "a folder")
+    assert history.compact(spark, root) is None and names(spark, root) == []
+    writing.append_enrichment(attempts(spark, ("p", 1, "old"), ("q", 1, "q1"), (None, 1, "nobody")), root, "b 1")
+    writing.append_enrichment(attempts(spark, ("p", 2, "mid")), root, "b2")
+    before = [("p", "mid"), ("p", "old"), ("q", "q1")]
+    first = history.compact(spark, root)
+    held = reading.read_enrichment(spark, root)
+    assert sorted((r["party_id"] or "", r["name"]) for r in held.collect()) == [("", "nobody"), *before]
+    assert held.columns == list(c.ENRICHMENT.columns)
+    # A batch after the copy, and one replaced since.
+    writing.append_enrichment(attempts(spark, ("p", 3, "new")), root, "b3")
+    writing.append_enrichment(attempts(spark, ("p", 1, "again")), root, "b 1")
+    assert names(spark, root) == [("p", "again"), ("p", "mid"), ("p", "new")]
+    # A session that did not make the copy finds it by its log.
+    spark.sql(f"DROP TABLE attempts_by_party_{first.replace('-', '_')}")
+    assert names(spark, root) == [("p", "again"), ("p", "mid"), ("p", "new")]
+    assert history.compact(spark, root) != first
+    assert names(spark, root) == [("p", "again"), ("p", "mid"), ("p", "new")]
+
+
+def test_a_copy_that_dies_half_way_is_not_read(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    writing.append_enrichment(attempts(spark, ("p", 1, "kept")), root, "b1")
+    monkeypatch.setattr(history, "LOG_SCHEMA", "no such type")
+    with pytest.raises(Exception):
+        history.compact(spark, root)
+    monkeypatch.undo()
+    assert names(spark, root) == [("p", "kept")]
+
+
+def test_the_history_is_not_moved_once_it_is_compacted(spark, tmp_path):
+    root = str(tmp_path)
+    batch = spark.range(3000).select(F.col("id").cast("string").alias("p"), F.lit(1).alias("day"), F.lit("n").alias("name"))
+    rows = [(str(i), 1, f"n{i}") for i in range(300)]
+    writing.append_enrichment(attempts(spark, *rows), root, "b1")
+    history.compact(spark, root, bucket_rows=10)  # 30 buckets
+    parties = batch.select(F.col("p").alias("party_id"), F.col("p").alias("document_number"))
+    few = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for later in (False, True):
+            if later:
+                writing.append_enrichment(attempts(spark, ("5", 2, "later")), root, "b2")
+            held = reading.read_enrichment(spark, root)
+            for found in (
+                identity.latest_classification(held), search.latest_enrichment(held),
+                enrichment.parties_to_enrich(parties, held, None),
+                identity.apply_classification(
+                    parties.withColumns({n: F.lit(None).cast(t) for n, t in (("document_type", "string"), ("document_type_confidence", "double"), ("document_type_rule_id", "string"))}),
+                    identity.latest_classification(held),
+                ),
+            ):
+                plan = found._jdf.queryExecution().executedPlan().toString()
+                assert "Bucketed: true" in plan and above(plan, "Bucketed: true", "Exchange") == 0
+            assert identity.latest_classification(held).count() == 300
+            assert enrichment.parties_to_enrich(parties, held, None).count() == 2700
+            newest = {r["party_id"]: r["party_name"] for r in search.latest_enrichment(held).collect()}
+            assert newest["5"] == ("later" if later else "n5")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", few)
+
+
+def above(plan, leaf, node):
+    """How many ``node`` lie between the plan's ``leaf`` and its root."""
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if leaf in line)
+    deep = lambda line: len(line) - len(line.lstrip(" :+-*"))
+    found, depth = 0, deep(lines[at])
+    for line in reversed(lines[:at]):
+        if deep(line) < depth:
+            depth = deep(line)
+            found += line.lstrip(" :+-*").startswith(node)
+    return found
+
+
+def test_profiles_come_back_as_they_were(spark, tmp_path):
+    rows = [("f", "S", ' a "b"\n, ', 0, "object", 0.25, 3), ("f", "S", "", 1, "int64", 0.0, 0), ("g\\", "T", "ñ", 2, "x", 1 / 3, 1)]
+    made = spark.createDataFrame(rows, c.PROFILE.schema)
+    writing.write_profile(made, str(tmp_path / "p"))
+    assert sorted(map(tuple, reading.read_profile(spark, str(tmp_path / "p")).collect())) == sorted(rows)
