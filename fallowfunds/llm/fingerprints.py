@@ -13,14 +13,20 @@ from pyspark.sql import functions as F
 from fallowfunds.llm.common import lower_ascii, packed, unpacked, whole
 
 # Terms are counted in this many classes of their hash, so what every task holds of the lexicon has a
-# fixed size. Rare terms add about (terms of a document) / CLASSES of all documents to a class, which
-# is below the band's lower end.
+# fixed size. Rare terms add about (distinct terms of a document) / 2**20 of all documents to a class. Below
+# some 500 distinct terms a document that is less than the band's lower end; with longer documents rare
+# terms come into the lexicon by their classes, and only its upper end still tells terms apart.
 CLASS_BITS = 20
 WORD_BITS = 6
 LOW, HIGH = 0.0005, 0.2  # the band: shares of documents a term occurs in
 # (lexicon cut into this many random parts, parts used)
 SUBSETS = ((16, 8), (64, 16), (256, 24), (1024, 24))
-NEAR_IDS = 10  # documents whose ids differ in these bits alone are ordered together
+# Documents are ordered in cells of about this many, in this many cells at most: beyond that cells grow.
+# Their bounds are keys of a sample of so many a cell, as in a sort by ranges; results do not depend on them.
+CELL, CELLS, SAMPLED = 256, 1 << 14, 8
+STEP = 128  # bounds looked at together
+TIE = 32  # code points of a text that bounds tell apart where ids are equal or missing
+KEY_TYPE = "struct<missing:boolean,down:bigint,tie:string>"
 NO_TERM = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -114,36 +120,55 @@ def text_of(parts_: str) -> Column:
     return F.array_join(F.transform(parts_, lambda p: F.lpad(F.hex(p.cast("long").bitwiseAND(0xFFFFFFFF)), 8, "0")), "")
 
 
-def with_next(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(group, id, text, next_text, first_of_group): each row with the next one's text, by descending id.
+def _key(doc_id: Column, text: Column) -> Column:
+    """Ascending where ids descend, NULL ids come last and equal ids go by their texts."""
+    down = F.coalesce(F.bitwise_not(doc_id), F.lit(0).cast("long"))
+    return F.struct(doc_id.isNull().alias("missing"), down.alias("down"), F.substring(text, 1, TIE).alias("tie"))
 
-    Rows are ordered in groups of neighbouring ids, never all in one task; a group's last row gets the
-    first text of the group that follows. Rows of one id are ordered by their texts; those without an id come last. The
-    last row's next is the first.
+
+def _cell(rows: DataFrame, cell: int = CELL) -> Column:
+    """The cell of a row's key: how many bounds are not above it."""
+    key = _key(F.col("id"), F.col("text"))
+    n = rows.count()
+    cells = max(1, min(CELLS, n // cell))
+    drawn = (
+        rows.select(key.alias("key"))
+        .filter(F.pmod(F.xxhash64("key"), F.lit(max(n, 1))) < SAMPLED * cells)
+        .distinct().orderBy("key").select(F.to_json("key").alias("key"))
+    )
+    keys = [r["key"] for r in drawn.collect()]
+    step = max(1, len(keys) // cells)
+    bounds = keys[step::step]
+    runs = [bounds[i : i + STEP] for i in range(0, len(bounds), STEP)] or [[]]
+    listed = ",".join(f"[{','.join(run)}]" for run in runs)
+    every = F.from_json(F.lit(f"[{listed}]"), f"array<array<{KEY_TYPE}>>")
+    firsts = F.from_json(F.lit(f"[{','.join(run[0] for run in runs if run)}]"), f"array<{KEY_TYPE}>")
+    not_above = lambda found: F.size(F.filter(found, lambda b: b <= key))
+    run = F.greatest(not_above(firsts), F.lit(1))
+    return (run - 1) * STEP + not_above(F.element_at(every, run))
+
+
+def with_next(docs: DataFrame, doc_id: str, text: str, cell: int = CELL) -> DataFrame:
+    """(group, id, text, next_text, place, head): each row with the next one's text, by descending id.
+
+    Rows are ordered in cells of neighbouring keys, whatever ids there are, never all in one task. A
+    cell's last row has no ``next_text``: ``head``, the first text of the cell that follows, is its next.
+    Rows of one id are ordered by their texts; those without an id come last, in as many cells as their
+    texts' beginnings tell apart. The last row's next is the first.
     """
-    group = F.coalesce(F.shiftright(F.col(doc_id).cast("long"), NEAR_IDS), F.lit(-(1 << 62)))
-    rows = docs.select(group.alias("group"), F.col(doc_id).cast("long").alias("id"), whole(text).alias("text"))
-    order = [F.col("id").desc_nulls_last(), F.col("text")]
-    inside = Window.partitionBy("group").orderBy(*order)
-    firsts = rows.groupBy("group").agg(F.max("id").alias("top"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("id"), whole(text).alias("text"))
+    inside = Window.partitionBy("group").orderBy(F.col("id").desc_nulls_last(), "text")
+    rows = rows.withColumn("group", _cell(rows, cell)).withColumns(
+        {"next_text": F.lead("text").over(inside), "place": F.row_number().over(inside)}
+    )
+    # One row for each cell from here on.
     along = Window.orderBy(F.col("group").desc())
     everything = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    linked = firsts.select(
-        F.col("group").alias("of"),
-        F.coalesce(F.lead("group").over(along), F.first("group").over(everything)).alias("group"),
+    firsts = rows.filter("place = 1").select(F.col("group").alias("of"), F.col("text").alias("head"))
+    before = firsts.select(F.col("of").alias("group")).select(
+        F.coalesce(F.lead("group").over(along), F.first("group").over(everything)).alias("group"), F.col("group").alias("of")
     )
-    heads = (
-        rows.join(
-            firsts.select(F.col("group").alias("of"), "top"),
-            (F.col("group") == F.col("of")) & F.col("id").eqNullSafe(F.col("top")),
-        )
-        .groupBy("group")
-        .agg(F.min("text").alias("head"))
-    )
-    follow = linked.join(heads, "group").select(F.col("of").alias("group"), "head")
-    return rows.withColumns(
-        {"next_text": F.lead("text").over(inside), "place": F.row_number().over(inside)}
-    ).join(follow, "group", "left")
+    return rows.join(before.join(firsts, "of").select("group", "head"), "group", "left")
 
 
 def fingerprint(
