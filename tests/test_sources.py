@@ -119,6 +119,27 @@ def test_folders_are_pruned(spark, tmp_path):
     assert "PartitionFilters" in shown and "(capture_id" in shown.split("PartitionFilters")[1][:200]
 
 
+def test_captures_get_no_folders_of_their_own(spark, tmp_path):
+    root = str(tmp_path)
+    rows = [(f"c{i}", str(i)) for i in range(60)]
+    build = put(spark, root, *rows)
+    files = list(tmp_path.glob(f"normalized/rows/build={build}/**/*.parquet"))
+    assert 1 <= len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert seen(spark, root) == sorted(rows)
+
+
+def test_builds_with_a_folder_for_each_capture_are_still_read(spark, tmp_path):
+    root = str(tmp_path)
+    former = builds.new_build()
+    judged(spark, ("a", "1"), ("b", "1")).write.partitionBy("period", "capture_id").parquet(
+        f"{root}/normalized/rows/build={former}"
+    )
+    builds.publish(spark, root, former)
+    assert seen(spark, root) == [("a", "1"), ("b", "1")]
+    put(spark, root, ("b", "2"), ("c", "2"))
+    assert seen(spark, root) == [("a", "1"), ("b", "2"), ("c", "2")]
+
+
 def test_dead_builds_are_removed(spark, tmp_path):
     root = str(tmp_path)
     first = put(spark, root, ("a", "1"))
