@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from checks import driver_tables
 from fallowfunds import contracts as c
-from fallowfunds.operators import enrichment, identity, lifecycle, normalize, search
+from fallowfunds.operators import enrichment, identity, lifecycle, normalize, search, sheets
 from fallowfunds.plans import jobs
 from fallowfunds.session import tune
 from fallowfunds.sources import builds, history, lookup, objects, reading, writing
@@ -140,6 +141,34 @@ def test_builds_with_a_folder_for_each_capture_are_still_read(spark, tmp_path):
     assert seen(spark, root) == [("a", "1"), ("b", "2"), ("c", "2")]
 
 
+def test_rows_are_dealt_unsorted(spark):
+    rows = spark.range(200).selectExpr("id AS o", "id % 3 AS n", "cast(NULL AS string) AS flag")
+    out = driver_tables.dealt(rows)
+    shown = out._jdf.queryExecution().executedPlan().toString()
+    # Dealing in turns sorts rows by their bytes first, and how it deals depends on their order.
+    assert "RoundRobin" not in shown and "hashpartitioning(o" in shown
+    assert sorted(r["o"] for r in out.collect()) == list(range(200))
+
+
+def test_wide_rows_are_not_sorted_to_meet_their_sheets(spark):
+    tune(spark)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # sheets too many to send to all
+    try:
+        cell = "array(struct('text' AS kind, concat('v', id) AS text))"
+        rows = spark.range(100).selectExpr("'k' AS key", "concat('s', id % 20) AS sheet", "id AS row_idx", f"{cell} AS cells")
+        columns = spark.range(20).selectExpr(
+            "'k' AS key", "concat('s', id) AS sheet", "0 AS header_row", "array('a') AS names", "array('text') AS kinds"
+        )
+        out = sheets.data_rows(rows, columns)
+        assert out.count() == 99
+        out.collect()
+        shown = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "ShuffledHashJoin" in shown and "SortMergeJoin" not in shown
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_dead_builds_are_removed(spark, tmp_path):
     root = str(tmp_path)
     first = put(spark, root, ("a", "1"))
