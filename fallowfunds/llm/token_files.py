@@ -71,6 +71,18 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``np.unique`` returns with index and inverse. Values are hashed, and only the distinct ones are sorted."""
+    found = pa.array(values).dictionary_encode()
+    place = found.indices.to_numpy()
+    order = np.argsort(found.dictionary.to_numpy())
+    first = np.empty(len(order), np.int64)
+    first[place[::-1]] = np.arange(len(values) - 1, -1, -1)  # of equal places the last one written stays
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return found.dictionary.to_numpy()[order], first[order], rank[place]
+
+
 class PieceEncoder:
     """Encodes each distinct piece once with the tokenizer and puts documents together from pieces.
 
@@ -161,7 +173,7 @@ class PieceEncoder:
         if not len(start):
             return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
         end = np.append(start[1:], len(data))
-        keys, where, which = np.unique(Hasher(data)(start, end), return_index=True, return_inverse=True)
+        keys, where, which = distinct(Hasher(data)(start, end))
         if len(self.keys) + len(keys) > CACHED:
             self._forget()
         at = np.searchsorted(self.keys, keys)

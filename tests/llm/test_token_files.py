@@ -51,6 +51,13 @@ def test_cache_starts_anew(monkeypatch):
             assert first == encoder.tokenizer.encode(words[0], add_special_tokens=False).ids
 
 
+def test_distinct_pieces_in_order_with_their_first_places():
+    values = np.random.default_rng(5).integers(0, 2**64, 300, np.uint64)[np.random.default_rng(6).integers(0, 300, 5000)]
+    for some in (values, values[:1], values[:0]):
+        want = np.unique(some, return_index=True, return_inverse=True)
+        assert all(np.array_equal(a, b) for a, b in zip(tf.distinct(some), want, strict=True))
+
+
 def test_round_trip(spark, documents, tmp_path):
     rows = [(i * 3 % 401, t) for i, t in enumerate(texts())]
     rows += [(1000, "lång " * 30_000), (5000, None), (5001, ""), (None, "no id"), (7, "again"), (7, "again")]
