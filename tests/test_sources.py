@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import driver_tables
 from fallowfunds import contracts as c
+from fallowfunds.mappings import pinned_mapping
 from fallowfunds.operators import enrichment, identity, lifecycle, normalize, search, sheets
 from fallowfunds.plans import jobs
 from fallowfunds.session import tune
@@ -422,3 +423,34 @@ def test_profiles_come_back_as_they_were(spark, tmp_path):
     made = spark.createDataFrame(rows, c.PROFILE.schema)
     writing.write_profile(made, str(tmp_path / "p"))
     assert sorted(map(tuple, reading.read_profile(spark, str(tmp_path / "p")).collect())) == sorted(rows)
+
+
+def test_rows_meet_their_sheets_unmoved(spark, tmp_path):
+    """Rows and columns of sheets lie in the same buckets: neither is shuffled or sorted to judge or profile a row."""
+    tune(spark)
+    spark.range(3000).selectExpr(
+        "id * 7 AS l_orderkey", "id % 90 AS l_partkey", "id % 40 AS l_suppkey", "cast(id % 7 AS int) AS l_linenumber",
+        "id * 1.25D AS l_extendedprice", "'R' AS l_returnflag", "'O' AS l_linestatus",
+        "cast(timestamp'1995-01-03' + make_interval(0, cast(id % 80 AS int)) AS timestamp_ntz) AS l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    sf = str(tmp_path)
+    rows, columns = driver_tables.raw_rows(spark, sf), driver_tables.sheet_columns(spark, sf)
+    plain = driver_tables.print_sheets(spark, sf)
+    assert rows.exceptAll(plain).isEmpty() and plain.exceptAll(rows).isEmpty()
+    assert columns.exceptAll(sheets.sheet_columns(plain)).isEmpty() and columns.count() == plain.select("key", "sheet").distinct().count()
+    parsed = normalize.normalize(rows, pinned_mapping(spark), columns)
+    hashed = columns.hint("shuffle_hash")
+    for out in (parsed, sheets.assemble_rows(rows, hashed), sheets.profile_columns(rows, hashed)):
+        shown = out._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in shown and "ShuffledHashJoin" in shown
+        assert "hashpartitioning" not in shown and "SortMergeJoin" not in shown
+    # A second call takes up the stored table.
+    again = driver_tables.raw_rows(spark, sf)
+    assert sorted(again.inputFiles()) == sorted(rows.inputFiles())
+
+
+def test_tables_are_stored_in_zstd(spark, tmp_path):
+    tune(spark)
+    spark.range(10).selectExpr("sha2(cast(id AS string), 256) AS id").write.parquet(f"{tmp_path}/ids")
+    (part,) = list((tmp_path / "ids").glob("*.parquet"))[:1]
+    assert ".zstd." in part.name
