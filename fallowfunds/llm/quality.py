@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, LongType, StructField, StructType
 
-from fallowfunds.llm.common import held_out, packed, passed, stored, unpacked, whole
+from fallowfunds.llm.common import held_out, packed, passed, released, stored, unpacked, whole
 from fallowfunds.llm.flat import Hasher, chunks, mix, words
 
 PASSAGE = 32  # words
@@ -158,7 +158,7 @@ def learn(labelled: DataFrame, most: int = PASSAGES) -> dict | None:
                 )
 
     schema = StructType([labelled.schema["key"], labelled.schema["good"]]).add("n", "long").add("x", "binary")
-    found = stored(labelled.select("key", "text", "good").mapInArrow(run, schema), "quality-features")
+    found = stored(labelled.select("key", "text", "good").mapInArrow(released(run), schema), "quality-features")
     order = Window.orderBy(F.xxhash64("key"), "key")  # over the sample, a number for each document
     held = found.select("key", F.sum("n").over(order).alias("upto")).filter(F.col("upto") <= most).select("key")
     rows = found.join(F.broadcast(held), "key").collect()  # bounded by ``most``
@@ -173,7 +173,8 @@ def learn(labelled: DataFrame, most: int = PASSAGES) -> dict | None:
 def score(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
     """``docs`` with ``score`` (0 to 1), ``n_passages`` and ``attention`` (each passage's weight)."""
     new = ("score", "n_passages", "attention")
-    rows = packed(docs, text=whole(text))
+    # The text goes to Python once, inside the row.
+    rows, at = packed(docs), [c.lower() for c in docs.columns].index(text.lower())
     schema = StructType(
         [rows.schema["row"], StructField("score", DoubleType()), StructField("n_passages", LongType()), StructField("attention", ArrayType(FloatType()))]
     )
@@ -181,7 +182,7 @@ def score(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
     def run(batches):
         for batch in batches:
             scores, counts, weights = [], [], []
-            for _, _, data, offsets in chunks(batch.column(1)):
+            for _, _, data, offsets in chunks(batch.column(0).field(at)):
                 x, bags = encode(data, offsets)
                 if model is None:
                     p, weight = np.full(len(bags), 0.5), np.repeat(1.0 / bags, bags)
@@ -199,7 +200,7 @@ def score(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
                 [batch.column(0), pa.array(np.concatenate([*scores, none])), pa.array(count), lists], ["row", *new]
             )
 
-    return rows.mapInArrow(run, schema).select(*unpacked(docs, *new), *new)
+    return rows.mapInArrow(released(run), schema).select(*unpacked(docs, *new), *new)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sample: int = SAMPLE) -> DataFrame:

@@ -180,3 +180,13 @@ def test_passages_that_teach_are_bounded_by_whole_documents(spark, documents, mo
     quality.learn(labelled, most=12)
     assert all(n <= 12 and n == sum(bags) for n, bags in held)
     assert quality.learn(labelled, most=0) is None
+
+
+def test_texts_go_to_python_once_and_workers_give_memory_back(spark, documents, monkeypatch):
+    docs = documents((1, "a b c"), (2, None), (3, ""))
+    sent, real = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: sent.append((self.columns, run.__qualname__)) or real(self, run, schema))
+    assert sorted((r.doc_id, r.text, r.n_passages) for r in quality.score(docs, None).collect()) == [(1, "a b c", 1), (2, None, 1), (3, "", 1)]
+    quality.learn(docs.selectExpr("doc_id AS key", "text", "doc_id > 1 AS good"))
+    assert [columns for columns, _ in sent] == [["row"], ["key", "text", "good"]]
+    assert all(run.startswith("released") for _, run in sent)
