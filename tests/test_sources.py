@@ -1,6 +1,7 @@
 import datetime as dt
 import hashlib
 import io
+import json
 
 import pytest
 from pyspark.sql import Observation
@@ -454,3 +455,37 @@ def test_tables_are_stored_in_zstd(spark, tmp_path):
     spark.range(10).selectExpr("sha2(cast(id AS string), 256) AS id").write.parquet(f"{tmp_path}/ids")
     (part,) = list((tmp_path / "ids").glob("*.parquet"))[:1]
     assert ".zstd." in part.name
+
+
+def test_sheets_are_printed_from_two_scans(spark, tmp_path):
+    """Lines are read for their cells, and once more for titles and headers together."""
+    tune(spark)
+    spark.range(40).selectExpr(
+        "id * 100 AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "1 AS l_linenumber", "1.5D AS l_extendedprice",
+        "'R' AS l_returnflag", "'O' AS l_linestatus", "timestamp_ntz'1995-01-03' AS l_shipdate",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    sf = str(tmp_path)
+    plain = driver_tables.print_sheets(spark, sf)
+    assert plain._jdf.queryExecution().optimizedPlan().toString().count("] parquet") == 2
+    sheets_of = {(r["key"], r["sheet"]) for r in plain.collect()}
+    # Lists 0 to 3 have as many titles above the header.
+    top = {(r["key"], r["sheet"], r["row_idx"]): r["cells"] for r in plain.collect() if r["row_idx"] <= int(r["key"][-6])}
+    assert len(sheets_of) == 8 and set(top) == {(k, s, i) for k, s in sheets_of for i in range(int(k[-6]) + 1)}
+    for (key, _, i), cells in top.items():
+        assert {x["kind"] for x in cells} == {"text"}
+        assert ([x["text"] for x in cells] == [f"Publicación {i}"]) == (i < int(key[-6]))
+
+
+def test_names_are_made_json_once_per_sheet(spark):
+    names = ["a", 'q"', "b\\", "ñ", "t\t", "", "l\n", "\x7f", "x y", "</a>"]
+    columns = spark.createDataFrame(
+        [("raw/deposits/2023-2/list-1.xlsx", "S", 0, names, ["text"] * len(names))],
+        "key string, sheet string, header_row int, names array<string>, kinds array<string>",
+    )
+    by_spark = [
+        F.expr(f"substring(to_json(named_struct('v', names[{i}])), 6, length(to_json(named_struct('v', names[{i}]))) - 6)")
+        for i in range(len(names))
+    ]
+    labels = normalize.locate_fields(columns, pinned_mapping(spark)).first()["labels"]
+    assert labels == list(columns.select(*[c.alias(f"c{i}") for i, c in enumerate(by_spark)]).first())
+    assert [json.loads(label) for label in labels] == names
