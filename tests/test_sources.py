@@ -2,12 +2,14 @@ import datetime as dt
 import hashlib
 import io
 import json
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from checks import driver_tables
+from checks import driver_tables, queries
 from fallowfunds import contracts as c
 from fallowfunds.mappings import pinned_mapping
 from fallowfunds.operators import enrichment, identity, lifecycle, normalize, search, sheets
@@ -489,3 +491,58 @@ def test_names_are_made_json_once_per_sheet(spark):
     labels = normalize.locate_fields(columns, pinned_mapping(spark)).first()["labels"]
     assert labels == list(columns.select(*[c.alias(f"c{i}") for i, c in enumerate(by_spark)]).first())
     assert [json.loads(label) for label in labels] == names
+
+
+def few_tables(spark, sf):
+    """Rows as the queries' tables have them, with a deposit published again by later files."""
+    spark.range(600).selectExpr(
+        "id % 150 * 7 AS l_orderkey", "id % 90 AS l_partkey", "id % 40 AS l_suppkey", "cast(id % 5 AS int) AS l_linenumber",
+        "id * 1.25D AS l_extendedprice", "'R' AS l_returnflag", "'O' AS l_linestatus",
+        "cast(timestamp'1996-01-03' + make_interval(0, cast(id % 60 AS int)) AS timestamp_ntz) AS l_shipdate",
+    ).write.parquet(f"{sf}/lineitem.parquet")
+    spark.sql("SELECT timestamp_ntz'1996-01-03' AS o_orderdate, '1-URGENT' AS o_orderpriority").write.parquet(f"{sf}/orders.parquet")
+    spark.range(2).selectExpr("id AS n_nationkey").write.parquet(f"{sf}/nation.parquet")
+
+
+def test_claims_meet_their_parties_and_observations_unmoved(spark, tmp_path):
+    """Claims, observations and links lie in the same buckets of claims; only periods are dealt into them."""
+    tune(spark)
+    sf = str(tmp_path)
+    few_tables(spark, sf)
+    core, staging = queries._core(spark, sf), driver_tables.staging(spark, sf)
+    for stored, built in (
+        (core.claims, lifecycle.build_claims(staging)),
+        (core.observations, lifecycle.build_observations(staging)),
+        (core.claim_parties, lifecycle.build_claim_parties(staging)),
+    ):
+        assert stored.count() > 0 and sorted(map(str, stored.collect())) == sorted(map(str, built.collect()))
+    met = core.claim_parties.join(core.claims, "claim_id")
+    shown = met._jdf.queryExecution().executedPlan().toString()
+    assert shown.count("Bucketed: true") == 2 and "ShuffledHashJoin" in shown and "Exchange" not in shown
+    # Claim rows are gone with the step that read them, and made again if they are asked for.
+    (claims,) = {Path(f.removeprefix("file:")).parent for f in core.claims.inputFiles()}
+    assert claims.exists() and not claims.with_name(claims.name.replace("claim-", "claim_rows-")).exists()
+    assert core.deposits.count() == core.claim_parties.count()
+    plain = search.party_deposits(
+        lifecycle.build_claim_parties(staging), lifecycle.build_claims(staging), lifecycle.build_observations(staging),
+        core.captures, core.files, core.court_names,
+    )
+    assert sorted(map(str, core.deposits.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_shuffle_files_go_with_their_statement(spark, tmp_path):
+    tune(spark)
+    sums = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("s"))
+
+    def shuffled():
+        local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {local.apply(i).getName() for i in range(local.size()) if local.apply(i).getName().endswith(".data")}
+
+    before = shuffled()
+    sums.write.parquet(f"{tmp_path}/sums")
+    until = time.monotonic() + 20
+    while shuffled() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    # A frame can still be read as often as one likes.
+    assert sums.collect() == sums.collect() and len(list(sums.toLocalIterator())) == 7
