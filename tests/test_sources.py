@@ -546,3 +546,16 @@ def test_shuffle_files_go_with_their_statement(spark, tmp_path):
     assert not shuffled() - before
     # A frame can still be read as often as one likes.
     assert sums.collect() == sums.collect() and len(list(sums.toLocalIterator())) == 7
+
+
+def test_builds_move_no_row(spark, tmp_path):
+    """A build's rows stay in the tasks that judged them, each a file for a period, sorted by capture."""
+    tune(spark)
+    rows = judged(spark, *[(f"c{i % 7}", f"{i:03d}") for i in range(60)]).withColumn("source_row", F.col("deposit_no").cast("bigint"))
+    dealt = rows.repartition(3, "source_row")
+    of_task = {r["source_row"]: r["task"] for r in dealt.select("source_row", F.spark_partition_id().alias("task")).collect()}
+    build = builds.write(dealt, str(tmp_path))
+    files = list(tmp_path.glob(f"normalized/rows/build={build}/period=2024-1/*.parquet"))
+    held = [[(r["capture_id"], r["source_row"]) for r in spark.read.parquet(str(f)).collect()] for f in files]
+    assert sorted(sorted({of_task[n] for _, n in file}) for file in held) == [[0], [1], [2]]
+    assert sum(map(len, held)) == 60 and all([k for k, _ in file] == sorted(k for k, _ in file) for file in held)
